@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Which text counts as a value; group 1 is the value without padding. Spark's own casts
-# accept a little more ('10d', '0x1p3', '2026' as a date) and a little less ('2.7' as an
-# integer, '1_000'), so these decide.
+# Which text counts as a value, the ordinary spelling first. Spark's own casts accept a
+# little more ('10d', '0x1p3', '2026' as a date) and a little less ('2.7' as an integer,
+# '1_000'), so these decide. Padding may stay: the casts ignore it.
 _DIGITS = r"\d+(?:_\d+)*+"
 _NUMBER = rf"(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?\d+)?"
-INTEGER = rf"^\s*([+-]?{_NUMBER})\s*$"
-DOUBLE = rf"^\s*([+-]?(?:{_NUMBER}|(?i:nan|inf|infinity)))\s*$"
-DATE = r"^\s*(\d{4}([-/])\d{1,2}\2\d{1,2})(?:[ T]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d+)?)?\s*$"
+INTEGER = rf"^\s*[+-]?{_NUMBER}\s*$"
+DOUBLE = rf"^\d++(?:\.\d*+)?$|^\s*[+-]?(?:{_NUMBER}|(?i:nan|inf|infinity))\s*$"
+DATE = (
+    r"^\d{4}-\d\d-\d\d$"
+    r"|^\s*\d{4}([-/])\d{1,2}\1\d{1,2}(?:[ T]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d+)?)?\s*$"
+)
 
 
 def clean_text(column: Column | str) -> Column:
@@ -24,13 +27,14 @@ def clean_text(column: Column | str) -> Column:
     return F.nullif(F.trim(column), F.lit(""))
 
 
-def _matched(text: Column | str, pattern: str) -> Column:
-    """The value part of the text, or an empty string, which no cast below accepts."""
-    return F.regexp_extract(text, pattern, 1)
+def _matched(text: Column | str, pattern: str, mark: str, by: str) -> Column:
+    """The text with ``mark`` replaced if it is a value, else an empty string, which no cast
+    accepts."""
+    return F.replace(F.regexp_extract(text, pattern, 0), F.lit(mark), F.lit(by))
 
 
 def _double(text: Column | str, pattern: str = DOUBLE) -> Column:
-    return F.translate(_matched(text, pattern), "_", "").try_cast("double")
+    return _matched(text, pattern, "_", "").try_cast("double")
 
 
 def _integer(text: Column | str) -> Column:
@@ -40,7 +44,7 @@ def _integer(text: Column | str) -> Column:
 
 
 def _date(text: Column | str) -> Column:
-    return F.translate(_matched(text, DATE), "/", "-").try_cast("date")
+    return _matched(text, DATE, "/", "-").try_cast("date")
 
 
 _CASTS = {"int": _integer, "integer": _integer, "double": _double, "date": _date}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfwise.functions import iso_day_of_week, round_to
@@ -62,29 +64,44 @@ def replenishment_orders(latest: DataFrame, policy: DataFrame) -> DataFrame:
     )
 
 
-def _per_day(rows: DataFrame, date: Column, quantity: Column) -> DataFrame:
-    return rows.select(
-        *SERIES, date.alias("day"), quantity.cast("bigint").alias("net"),
-        F.lit(None).cast("int").alias("on_hand_qty"),
+def _movements(*parts: DataFrame) -> DataFrame:
+    """Net movement per series and day.
+
+    Summed up before the shuffle, so a series with very many movements reaches the windows
+    below with no more rows than there are days.
+    """
+    return reduce(DataFrame.unionByName, parts).groupBy(*SERIES, "day").agg(
+        F.sum("net").alias("net")
     )
 
 
-def _by_series_and_day(events: DataFrame) -> DataFrame:
-    """At most one row per series and calendar day.
+def _movement(rows: DataFrame, date: Column, quantity: Column) -> DataFrame:
+    return rows.select(*SERIES, date.alias("day"), quantity.cast("bigint").alias("net"))
 
-    The sums are combined before the shuffle, so a series with very many movements reaches
-    the window below with no more rows than there are days.
-    """
-    return events.groupBy(*SERIES, "day").agg(
-        F.sum("net").alias("net"), F.max("on_hand_qty").alias("on_hand_qty")
-    )
 
+def _with_running_total(inventory: DataFrame, movements: DataFrame) -> DataFrame:
+    """Snapshots and movements in one series, with the movement up to and including each row.
 
-def _snapshot_events(inventory: DataFrame) -> DataFrame:
-    return inventory.select(
+    Snapshots are shuffled once, by series; the window over them needs nothing more. A
+    movement sorts before the snapshot of its day.
+    """
+    snapshots = inventory.select(
         *SERIES, F.col("snapshot_date").alias("day"), F.lit(0).cast("bigint").alias("net"),
-        "on_hand_qty",
+        "on_hand_qty", F.lit(True).alias("counted"),
+    )
+    rows = snapshots.unionByName(
+        movements.withColumns(
+            {"on_hand_qty": F.lit(None).cast("int"), "counted": F.lit(False)}
+        )
+    )
+    running = F.sum("net").over(
+        _by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return rows.withColumn("moved", running).filter("counted")
+
+
+def _by_day() -> WindowSpec:
+    return Window.partitionBy(*SERIES).orderBy("day", "counted")
 
 
 def stock_ledger(inventory: DataFrame, sales: DataFrame, orders: DataFrame) -> DataFrame:
@@ -95,25 +112,17 @@ def stock_ledger(inventory: DataFrame, sales: DataFrame, orders: DataFrame) -> D
     """
     first = inventory.agg(F.min("snapshot_date")).scalar()
     last = inventory.agg(F.max("snapshot_date")).scalar()
-    receipts = _per_day(
-        orders.filter(F.col("actual_delivery_date").between(first, last)),
-        F.col("actual_delivery_date"), F.col("received_qty"),
-    )
-    sold = _per_day(
-        sales.filter(F.col("sale_date").between(first, last)),
-        F.col("sale_date"), -F.col("quantity"),
-    )
-    days = _by_series_and_day(
-        _snapshot_events(inventory).unionByName(receipts).unionByName(sold)
-    )
-    series = Window.partitionBy(*SERIES).orderBy("day")
-    running = F.sum(F.coalesce("net", F.lit(0))).over(
-        series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = days.withColumn("moved", running).filter(F.col("on_hand_qty").isNotNull())
-    expected = F.lag("on_hand_qty").over(series) + F.col("moved") - F.lag("moved").over(series)
+    arrived = F.col("actual_delivery_date")
+    movements = _movements(
+        _movement(orders.filter(arrived.between(first, last)), arrived, F.col("received_qty")),
+        _movement(sales.filter(F.col("sale_date").between(first, last)),
+                  F.col("sale_date"), -F.col("quantity")),
+    )
+    before = F.lag("on_hand_qty").over(_by_day())
+    since = F.col("moved") - F.lag("moved").over(_by_day())
     return (
-        counted.withColumn("expected_qty", expected)
+        _with_running_total(inventory, movements)
+        .withColumn("expected_qty", before + since)
         .filter(F.col("expected_qty").isNotNull())
         .select(
             F.col("day").alias("snapshot_date"), *SERIES, "on_hand_qty", "expected_qty",
@@ -145,7 +154,7 @@ def in_transit(inventory: DataFrame, orders: DataFrame) -> DataFrame:
 
     Each order adds its quantity the day after it is placed and takes it off on arrival; the
     running sum replaces a range join. Everything before the first snapshot is folded into
-    that day, so a series has at most one row per snapshot day and later event day.
+    that day, so a series has at most one movement per day of the snapshot period.
     """
     first = inventory.agg(F.min("snapshot_date")).scalar()
     last = inventory.agg(F.max("snapshot_date")).scalar()
@@ -153,19 +162,12 @@ def in_transit(inventory: DataFrame, orders: DataFrame) -> DataFrame:
     starts = F.date_add("order_date", 1)
     ends = F.greatest(F.col("actual_delivery_date"), starts)
     placed = orders.filter(starts <= last)
-    added = _per_day(placed, F.greatest(starts, first), quantity)
-    removed = _per_day(
-        placed.filter(F.col("actual_delivery_date").isNotNull() & (ends <= last)),
-        F.greatest(ends, first), -quantity,
-    )
-    snapshots = _snapshot_events(inventory).withColumn("on_hand_qty", F.lit(1))
-    days = _by_series_and_day(snapshots.unionByName(added).unionByName(removed))
-    series = Window.partitionBy(*SERIES).orderBy("day")
-    running = F.sum("net").over(
-        series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        days.withColumn("derived_in_transit_qty", running)
-        .filter(F.col("on_hand_qty").isNotNull())
-        .select(F.col("day").alias("snapshot_date"), *SERIES, "derived_in_transit_qty")
+    arrived = placed.filter(F.col("actual_delivery_date").isNotNull() & (ends <= last))
+    movements = _movements(
+        _movement(placed, F.greatest(starts, first), quantity),
+        _movement(arrived, F.greatest(ends, first), -quantity),
+    )
+    return _with_running_total(inventory, movements).select(
+        F.col("day").alias("snapshot_date"), *SERIES,
+        F.col("moved").alias("derived_in_transit_qty"),
     )

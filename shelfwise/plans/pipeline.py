@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,12 @@ STORED = {
 }
 
 
+class RawTables(Protocol):
+    """Raw tables by name: a dict, or anything that plans them when asked."""
+
+    def __getitem__(self, name: str) -> DataFrame: ...
+
+
 def as_plan(df: DataFrame, label: str) -> DataFrame:
     """Store nothing: every reader of a model repeats its plan."""
     return df
@@ -39,7 +46,7 @@ class Models:
     puts them into the shared work folder, so that joins below them run once.
     """
 
-    raw: dict[str, DataFrame]
+    raw: RawTables
     store: Callable[[DataFrame, str], DataFrame] = as_plan
 
     @cached_property
@@ -123,21 +130,21 @@ class Models:
         return self.po_delays
 
 
-def build(raw: dict[str, DataFrame], warehouse: Warehouse, as_of: Column | None = None
+def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
           ) -> dict[str, DataFrame]:
     """One nightly run: every layer written, each stored table returned for reading.
 
-    Raw sales and inventory are typed once and stored by day before anything reads them
-    twice. Later steps then read columns and days of parquet, and a lost executor costs a
-    re-read. ``fct_sales`` is loaded incrementally; the other tables are rebuilt.
+    Raw sales are parsed once, into a typed table that tells valid from rejected rows; the
+    fact, the quarantine and the demand rates read the columns they need from it, and a lost
+    executor costs a re-read. Facts are stored by day. ``fct_sales`` is loaded incrementally;
+    the other tables are rebuilt.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     models = Models(raw)
     out = warehouse.replace
 
     typed = models.typed_sales
-    out("staging", "typed_sales", typed.withColumn("is_valid", staging.sales_row_is_valid()),
-        partition_by=["is_valid", "sale_date"])
+    out("staging", "typed_sales", typed.withColumn("is_valid", staging.sales_row_is_valid()))
     stored = warehouse.read("staging", "typed_sales")
     sales = stored.filter("is_valid").select(*typed.columns)
     rejected = stored.filter("NOT is_valid").select(*typed.columns)
@@ -163,7 +170,7 @@ def build(raw: dict[str, DataFrame], warehouse: Warehouse, as_of: Column | None
     return {table: warehouse.read(layer, table) for table, layer in STORED.items()}
 
 
-def check(raw: dict[str, DataFrame], warehouse: Warehouse, run_id: str, at: Column,
+def check(raw: RawTables, warehouse: Warehouse, run_id: str, at: Column,
           categories=CATEGORIES) -> DataFrame:
     """Run the whole contract on a build, append the outcome to the history, return it."""
     models = Models(raw)

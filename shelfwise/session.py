@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Listing many day folders: a few tasks that list many folders each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "32",
     "spark.ui.enabled": "false",
 }
 
@@ -63,6 +67,22 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+@contextmanager
+def many_writers(spark: SparkSession) -> Iterator[None]:
+    """For writes by day: let every shuffle partition write its own days.
+
+    A day lies in one partition, or in several when adaptive execution splits a large one, so
+    merging small partitions would not save a file; it would only queue them in one task.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores when the input has fewer splits than cores; otherwise change nothing.
 

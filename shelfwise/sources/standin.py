@@ -91,9 +91,7 @@ class Testbed:
         joined = lines.join(
             order_store.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
         ).join(prices, F.col("l_partkey") == F.col("p_partkey"))
-        defect = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % DEFECT_MODULUS
-        day = F.col("l_shipdate").cast("date").cast("string")
-        quantity = F.col("l_quantity").cast("int").cast("string")
+        defect, day, quantity = F.col("defect"), F.col("day"), F.col("units")
         amount = (
             F.round(
                 F.col("l_quantity") * F.col("p_retailprice") * (1 - F.col("l_discount")) * 100
@@ -102,8 +100,12 @@ class Testbed:
         )
         sale_parts = [F.col(c).cast("string") for c in
                       ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-        return joined.select(
-            F.concat(F.lit("SAL-"), F.concat_ws("-", *sale_parts, day)).alias("sale_id"),
+        return joined.withColumns({
+            "defect": (F.col("l_orderkey") * 7 + F.col("l_partkey")) % DEFECT_MODULUS,
+            "day": F.col("l_shipdate").cast("date").cast("string"),
+            "units": F.col("l_quantity").cast("int").cast("string"),
+        }).select(
+            F.concat_ws("-", F.lit("SAL"), *sale_parts, day).alias("sale_id"),
             F.when(defect == 1, "").when(defect == 8, "not-a-date").otherwise(day)
             .alias("sale_date"),
             F.when(defect != 9, business_key("store", "c_nationkey")).alias("store_id"),
@@ -173,14 +175,11 @@ class Testbed:
             F.when(is_open, "").otherwise(received.cast("string")).alias("received_qty"),
         )
 
-    def raw(self, name: str) -> DataFrame:
+    @cache
+    def __getitem__(self, name: str) -> DataFrame:
+        """A raw table by name, planned when it is first asked for."""
         return getattr(self, name)()
 
-    def raw_tables(self) -> dict[str, DataFrame]:
-        from shelfwise.sources.schemas import RAW_COLUMNS
-
-        return {name: self.raw(name) for name in RAW_COLUMNS}
-
     def usage_log(self) -> DataFrame:
         """A usage log: what was used, when, how much."""
         return self.table("events").select(
