@@ -17,7 +17,7 @@ from shelfwise.plans.pipeline import Models
 from shelfwise.session import new_folder, written
 from shelfwise.sources import landing, sinks, tables
 from shelfwise.sources.schemas import RAW_COLUMNS
-from shelfwise.sources.standin import Testbed
+from shelfwise.sources.standin import StandIn
 from shelfwise.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +39,7 @@ SUPPLIER_CHANGE = {"nominal_lead_time_days": 5, "reliability_score": 0.9,
 
 
 def _models(spark: SparkSession, folder: str) -> Models:
-    return Models(Testbed(spark, folder), store=written)
+    return Models(StandIn(spark, folder), store=written)
 
 
 def _model(name: str) -> Query:
@@ -47,7 +47,7 @@ def _model(name: str) -> Query:
 
 
 def _raw(name: str) -> Query:
-    return lambda spark, folder: Testbed(spark, folder)[name]
+    return lambda spark, folder: StandIn(spark, folder)[name]
 
 
 def _with(build: Callable[[Models], DataFrame]) -> Query:
@@ -97,7 +97,7 @@ def _table_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pipeline_build(spark: SparkSession, folder: str) -> DataFrame:
-    raw = Testbed(spark, folder)
+    raw = StandIn(spark, folder)
     warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
     return _fingerprint_of(pipeline.build(raw, warehouse, _at(FIRST_SNAPSHOT)))
 
@@ -123,7 +123,7 @@ def _contract(spark: SparkSession, folder: str) -> DataFrame:
 def _orders_zone(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     """Purchase orders as CSV by day, delivered and open orders in files whose columns are
     ordered differently."""
-    orders = written(Testbed(spark, folder)["purchase_orders"], "orders")
+    orders = written(StandIn(spark, folder)["purchase_orders"], "orders")
     zone = new_folder(spark, "zone")
     is_open = F.col("actual_delivery_date") == ""
     reordered = sorted(RAW_COLUMNS["purchase_orders"])
@@ -143,7 +143,7 @@ def _union_by_name(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _positional(spark: SparkSession, folder: str) -> DataFrame:
-    orders = Testbed(spark, folder)["purchase_orders"]
+    orders = StandIn(spark, folder)["purchase_orders"]
     zone = new_folder(spark, "zone")
     sinks.write_partitioned(orders, f"{zone}/purchase_orders", "order_date")
     loaded = landing.load_raw(spark, zone, "purchase_orders", positional=True)
@@ -152,7 +152,7 @@ def _positional(spark: SparkSession, folder: str) -> DataFrame:
 
 def _partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
     zone = new_folder(spark, "zone")
-    inventory = Testbed(spark, folder)["inventory_snapshots"]
+    inventory = StandIn(spark, folder)["inventory_snapshots"]
     sinks.write_partitioned(inventory, f"{zone}/inventory", "snapshot_date")
     loaded = landing.load_raw(spark, zone, "inventory_snapshots")
     return sinks.partition_count(loaded, "snapshot_date")
@@ -170,21 +170,21 @@ def _changed_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_load(spark: SparkSession, folder: str) -> DataFrame:
     zone, out = new_folder(spark, "zone"), new_folder(spark, "stream")
-    sinks.write_partitioned(Testbed(spark, folder)["sales"], f"{zone}/sales", "sale_date")
+    sinks.write_partitioned(StandIn(spark, folder)["sales"], f"{zone}/sales", "sale_date")
     ingest.run_available(spark, zone, f"{out}/fct_sales", f"{out}/quarantine",
                          f"{out}/checkpoint", files_per_trigger=100_000)
     return spark.read.parquet(f"{out}/fct_sales").select(*marts.FCT_SALES_COLUMNS)
 
 
 def _appended_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
-    raw = Testbed(spark, folder)["sales"]
+    raw = StandIn(spark, folder)["sales"]
     bad = tables.literal_rows(spark, BAD_SALES, "sales", "simulated-bad-data")
     typed = staging.typed_sales(raw.unionByName(bad.select(*raw.columns)))
     return quarantine.quarantine_sales(typed).select("sale_id", "quarantine_reason")
 
 
 def _keyed_update(spark: SparkSession, folder: str) -> DataFrame:
-    raw = Testbed(spark, folder)["suppliers"]
+    raw = StandIn(spark, folder)["suppliers"]
     return staging.stg_suppliers(
         tables.update_by_key(raw, "supplier_id", "SUP-0002", SUPPLIER_CHANGE)
     )
@@ -268,7 +268,7 @@ def _run_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _usage(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: report(Testbed(spark, folder).usage_log())
+    return lambda spark, folder: report(StandIn(spark, folder).usage_log())
 
 
 def _storage(log: DataFrame) -> DataFrame:

@@ -155,7 +155,7 @@ def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
     out("marts", "dim_stores", models.dim_stores)
 
     load_by_day(marts.fct_sales(sales), warehouse.path("marts", "fct_sales"))
-    warehouse.register("marts", "fct_sales")
+    warehouse.register("marts", "fct_sales", partitioned=True)
     out("marts", "fct_inventory",
         intermediate.stock_status(models.stg_inventory_snapshots,
                                   intermediate.daily_demand(sales)),

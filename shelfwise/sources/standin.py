@@ -23,7 +23,7 @@ DEFECT_MODULUS = 400
 
 
 @dataclass(frozen=True, eq=False)
-class Testbed:
+class StandIn:
     spark: SparkSession
     folder: str
 
