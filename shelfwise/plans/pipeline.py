@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Protocol
 
@@ -48,6 +48,14 @@ class Models:
 
     raw: RawTables
     store: Callable[[DataFrame, str], DataFrame] = as_plan
+    kept: set[str] = field(default_factory=set)
+
+    def keep(self, *names: str) -> Models:
+        """Store these models now; models asked for later read the stored results."""
+        for name in names:
+            self.__dict__[name] = self.store(getattr(self, name), name)
+            self.kept.add(name)
+        return self
 
     @cached_property
     def stg_suppliers(self) -> DataFrame:
@@ -83,11 +91,11 @@ class Models:
 
     @cached_property
     def sales_measures(self) -> DataFrame:
-        """The columns of valid sales that the measures need."""
-        return self.store(
-            self.stg_sales.select("sale_date", "store_id", "product_id", "quantity", "amount_eur"),
-            "sales_measures",
+        """The columns of valid sales that the measures need, read more than once."""
+        measures = self.stg_sales.select(
+            "sale_date", "store_id", "product_id", "quantity", "amount_eur"
         )
+        return measures if "stg_sales" in self.kept else self.store(measures, "sales_measures")
 
     @cached_property
     def daily_demand(self) -> DataFrame:
@@ -95,7 +103,10 @@ class Models:
 
     @cached_property
     def stock_status(self) -> DataFrame:
-        return intermediate.stock_status(self.stg_inventory_snapshots, self.daily_demand)
+        """Demand is stored first: the planner then knows its size, and a join of two shuffled
+        scans is one that adaptive execution can split where a key is hot."""
+        demand = self.store(self.daily_demand, "daily_demand")
+        return intermediate.stock_status(self.stg_inventory_snapshots, demand)
 
     @cached_property
     def po_delays(self) -> DataFrame:
@@ -156,9 +167,11 @@ def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
 
     load_by_day(marts.fct_sales(sales), warehouse.path("marts", "fct_sales"))
     warehouse.register("marts", "fct_sales", partitioned=True)
+    # Stored, so that the planner knows its size and can split a hot key of the join below.
+    out("intermediate", "daily_demand", intermediate.daily_demand(sales))
+    demand = warehouse.read("intermediate", "daily_demand")
     out("marts", "fct_inventory",
-        intermediate.stock_status(models.stg_inventory_snapshots,
-                                  intermediate.daily_demand(sales)),
+        intermediate.stock_status(models.stg_inventory_snapshots, demand),
         partition_by=["snapshot_date"])
     inventory = warehouse.read("marts", "fct_inventory")
     out("marts", "dim_date", marts.dim_date(inventory))

@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def local_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; never used on a cluster."""
@@ -35,17 +37,18 @@ def local_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) ->
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, as the cluster names it.
 
-    A machine-local temporary folder is used only by a local master that names none: there
-    every executor is the same process. Anywhere else an unset folder is an error.
+    A temporary folder is used only by a local master that names none: there every executor
+    is the same process. Anywhere else an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    created = "file://" + tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _LOCAL_ROOTS[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
