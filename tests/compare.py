@@ -28,6 +28,11 @@ def normal(value) -> str:
     return str(value)
 
 
+# Spark type -> type of the same name in SQL
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def rows_of(columns, rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(normal(r[i]) for i in order) for r in rows)
@@ -40,6 +45,10 @@ def compare(con, spark_df, sql: str) -> str | None:
     if sorted(columns) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} <> {sorted(columns)}"
     expected = rows_of(columns, cursor.fetchall())
+    types = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    other = {c: (t, types[c]) for c, t in spark_df.dtypes if TYPES.get(t) != types[c]}
+    if other:
+        return f"types {other}"
     actual = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     if expected == actual:
         return None
