@@ -157,7 +157,7 @@ def _key_checks(table: str, df: DataFrame, checks: TableChecks, parents: Mapping
     Every row yields one (rule, key) pair per checked column; pairs are counted before the
     shuffle. Reference counts add up child rows, accepted-value counts the distinct values.
     """
-    columns = [*checks.references, *checks.accepted]
+    columns = list(dict.fromkeys([*checks.references, *checks.accepted]))
     if not columns:
         return None
     pairs = F.array(*(

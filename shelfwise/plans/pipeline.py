@@ -141,6 +141,19 @@ class Models:
         return self.po_delays
 
 
+# Staging and intermediate models, which are views and not stored tables.
+VIEWS = (
+    "stg_suppliers", "stg_products", "stg_stores", "stg_sales", "stg_inventory_snapshots",
+    "stg_purchase_orders", "daily_demand", "stock_status", "po_delays",
+)
+
+
+def create_views(models: Models, names=VIEWS) -> None:
+    """Name these models for ``spark.sql``; nothing is stored."""
+    for name in names:
+        getattr(models, name).createOrReplaceTempView(name)
+
+
 def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
           ) -> dict[str, DataFrame]:
     """One nightly run: every layer written, each stored table returned for reading.

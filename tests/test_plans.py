@@ -98,5 +98,11 @@ def test_no_query_has_a_cross_or_nested_loop_join(spark):
             assert "NestedLoop" not in text, name
 
 
+def test_views(spark):
+    pipeline.create_views(pipeline.Models(StandIn(spark, FOLDER)), ["stg_stores", "po_delays"])
+    row = spark.sql("select (select count(*) from stg_stores), count(*) from po_delays").first()
+    assert tuple(row) == (25, 1500)
+
+
 def test_contract_names_only_known_tables():
     assert set(full_contract()) <= set(dir(pipeline.Models))
