@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from shelfwise.plans.contract import full_contract, TIERS
+from shelfwise.functions.validity import SALE_DEFECTS, SALE_RULES
+from shelfwise.plans.contract import full_contract
 
 # Categories that occur in the given data.
 PART_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -27,9 +28,10 @@ def _round(value: str, digits: int) -> str:
 _DEFECT = "(l_orderkey * 7 + l_partkey) % 400"
 _DAY = "cast(cast(l_shipdate as date) as varchar)"
 _QTY = "cast(cast(l_quantity as integer) as varchar)"
-_VALID = """sale_date is not null and store_id is not null and product_id is not null
-  and quantity is not null and quantity > 0 and amount_eur is not null and amount_eur >= 0
-  and discount_pct is not null and discount_pct between 0 and 1"""
+_VALID = " and ".join(f"coalesce({rule}, false)" for rule in SALE_RULES)
+_REASON = "case {} end".format(
+    " ".join(f"when {defect} then '{reason}'" for reason, defect in SALE_DEFECTS)
+)
 
 # name -> SELECT; a SELECT may read the given tables and the names listed here.
 RELATIONS = {
@@ -130,44 +132,29 @@ RELATIONS = {
                {_cast('actual_delivery_date', 'date')}, {_cast('received_qty', 'integer')}
         from raw_purchase_orders""",
     "quarantine": f"""
-        select *, case
-            when sale_date is null then 'missing or unparseable sale_date'
-            when store_id is null then 'missing store_id'
-            when product_id is null then 'missing product_id'
-            when quantity is null then 'missing or unparseable quantity'
-            when quantity <= 0 then 'non-positive quantity'
-            when amount_eur is null then 'missing or unparseable amount_eur'
-            when amount_eur < 0 then 'negative amount_eur'
-            when discount_pct is null then 'missing or unparseable discount_pct'
-            else 'discount_pct outside 0-1' end as quarantine_reason
-        from typed_sales where not ({_VALID})""",
+        select *, {_REASON} as quarantine_reason from typed_sales where not ({_VALID})""",
     "demand": """
         select store_id, product_id, cast(sum(quantity) as bigint) as units_last_28d,
                sum(quantity) / 28.0::double as avg_daily_units
         from stg_sales
-        where date_diff('day', sale_date, (select max(sale_date) from stg_sales)) < 28
-        group by store_id, product_id""",
+        where sale_date > (select max(sale_date) - 28 from stg_sales)
+        group by all""",
     "fct_inventory": f"""
-        select i.snapshot_date, i.store_id, i.product_id, i.on_hand_qty, i.reorder_point,
-               i.in_transit_qty, coalesce(d.avg_daily_units, 0.0::double) as avg_daily_units,
-               i.on_hand_qty = 0 as is_stockout,
-               i.on_hand_qty <= i.reorder_point as below_reorder_point,
-               case when coalesce(d.avg_daily_units, 0) = 0 then null
-                 else {_round('i.on_hand_qty / d.avg_daily_units', 1)} end as days_of_cover
-        from stg_inventory_snapshots i left join demand d
-          on i.store_id = d.store_id and i.product_id = d.product_id""",
+        select snapshot_date, store_id, product_id, on_hand_qty, reorder_point, in_transit_qty,
+               coalesce(rate, 0.0::double) as avg_daily_units,
+               on_hand_qty = 0 as is_stockout,
+               on_hand_qty <= reorder_point as below_reorder_point,
+               {_round('on_hand_qty / nullif(rate, 0)', 1)} as days_of_cover
+        from stg_inventory_snapshots
+        left join (select store_id, product_id, avg_daily_units as rate from demand)
+          using (store_id, product_id)""",
     "fct_purchase_orders": """
-        select po_id, order_date, supplier_id, product_id, store_id, ordered_qty, received_qty,
-               promised_date, actual_delivery_date,
-               cast(date_diff('day', order_date, promised_date) as integer)
-                 as promised_lead_time_days,
-               cast(date_diff('day', order_date, actual_delivery_date) as integer)
-                 as actual_lead_time_days,
-               cast(date_diff('day', promised_date, actual_delivery_date) as integer)
-                 as delay_days,
+        select *,
+               cast(promised_date - order_date as integer) as promised_lead_time_days,
+               cast(actual_delivery_date - order_date as integer) as actual_lead_time_days,
+               cast(actual_delivery_date - promised_date as integer) as delay_days,
                actual_delivery_date is null as is_open,
-               case when actual_delivery_date is null then null
-                 when actual_delivery_date > promised_date then true else false end as is_late
+               actual_delivery_date > promised_date as is_late
         from stg_purchase_orders""",
     "dim_suppliers": """
         select supplier_id, supplier_name, country, city, nominal_lead_time_days,
@@ -189,9 +176,7 @@ RELATIONS = {
                cast(extract(day from date_day) as integer) as day_of_month,
                cast(extract(isodow from date_day) as integer) as iso_day_of_week,
                cast(extract(week from date_day) as integer) as iso_week,
-               case extract(isodow from date_day) when 1 then 'Monday' when 2 then 'Tuesday'
-                 when 3 then 'Wednesday' when 4 then 'Thursday' when 5 then 'Friday'
-                 when 6 then 'Saturday' else 'Sunday' end as weekday_name,
+               dayname(date_day) as weekday_name,
                extract(isodow from date_day) >= 6 as is_weekend
         from (select distinct snapshot_date as date_day from stg_inventory_snapshots)""",
     "fct_sales": "select * from stg_sales",
@@ -348,23 +333,24 @@ _FINGERPRINT = f"""
       ('dim_date.n_rows', (select count(*)::double from dim_date))
     ) t(metric, value)"""
 
+_RISKY = "days_of_cover < THRESHOLD and in_transit_qty = 0"
+
 _AT_RISK = f"""
-    select s.store_name, p.product_name, p.category, l.on_hand_qty,
-           {_round('l.avg_daily_units', 2)} as daily_demand, l.days_of_cover,
-           sup.supplier_name, sup.reliability_tier
-    from latest l join dim_products p on l.product_id = p.product_id
-    join dim_stores s on l.store_id = s.store_id
-    join dim_suppliers sup on p.supplier_id = sup.supplier_id
-    where l.days_of_cover is not null and l.days_of_cover < THRESHOLD
-      and l.in_transit_qty = 0 STORES
-    order by l.days_of_cover nulls last, l.store_id, l.product_id limit 40"""
-
-_KPIS = """
-    select (select count(*) from latest where is_stockout STORES) as stockouts,
-           (select count(*) from latest where days_of_cover is not null
-              and days_of_cover < THRESHOLD and in_transit_qty = 0 STORES) as at_risk,
-           (select count(*) from fct_purchase_orders where is_open) as open_orders,
-           (select round(sum(amount_eur)) from fct_sales where true STORES) as revenue"""
+    select store_name, product_name, category, on_hand_qty,
+           {_round('avg_daily_units', 2)} as daily_demand, days_of_cover, supplier_name,
+           reliability_tier
+    from (select * from latest where {_RISKY} STORES)
+    join dim_products using (product_id)
+    join dim_suppliers using (supplier_id)
+    join (select store_id, store_name from dim_stores) using (store_id)
+    order by days_of_cover, store_id, product_id limit 40"""
+
+_KPIS = f"""
+    select count(*) filter (where is_stockout) as stockouts,
+           count(*) filter (where {_RISKY}) as at_risk,
+           (select count(*) filter (where is_open) from fct_purchase_orders) as open_orders,
+           (select round(sum(amount_eur)) from fct_sales where true STORES) as revenue
+    from latest where true STORES"""
 
 _TWO_STORES = "and store_id in ('STO-003', 'STO-007')"
 
@@ -435,23 +421,21 @@ SELECTS = {
     "kpis_two_stores": _KPIS.replace("THRESHOLD", "21").replace("STORES", _TWO_STORES),
     "at_risk": _AT_RISK.replace("THRESHOLD", "7").replace("STORES", ""),
     "at_risk_two_stores": _AT_RISK.replace("THRESHOLD", "21").replace(
-        "STORES", _TWO_STORES.replace("store_id", "l.store_id")),
+        "STORES", _TWO_STORES),
     "supplier_lateness": f"""
-        select * from (
-          select sup.supplier_name, count(*) as orders,
-                 {_round('100.0::double * avg(case when po.is_late then 1.0::double else 0 end)', 1)}
-                   as late_pct,
-                 {_round('avg(case when po.is_late then po.delay_days end)', 1)} as avg_days_late
-          from fct_purchase_orders po join dim_suppliers sup using (supplier_id)
-          where not po.is_open group by sup.supplier_name having count(*) > 20)
+        select supplier_name, count(*) as orders,
+               {_round('100.0::double * (count(*) filter (where is_late) / count(*))', 1)}
+                 as late_pct,
+               {_round('avg(delay_days) filter (where is_late)', 1)} as avg_days_late
+        from fct_purchase_orders join dim_suppliers using (supplier_id)
+        where not is_open group by supplier_name having count(*) > 20
         order by late_pct desc nulls last, supplier_name limit 10""",
     "stockout_rate_by_tier": f"""
-        select sup.reliability_tier,
-               {_round('100.0::double * sum(case when i.is_stockout then 1.0::double else 0 end) / count(*)', 2)}
+        select reliability_tier,
+               {_round('100.0::double * count(*) filter (where is_stockout) / count(*)', 2)}
                  as stockout_rate_pct
-        from fct_inventory i join dim_products p on i.product_id = p.product_id
-        join dim_suppliers sup on p.supplier_id = sup.supplier_id
-        group by sup.reliability_tier""",
+        from fct_inventory join dim_products using (product_id)
+        join dim_suppliers using (supplier_id) group by reliability_tier""",
     "revenue_by_day": f"""
         select sale_date, {_round('sum(amount_eur)', 2)} as revenue_eur
         from fct_sales group by sale_date""",
@@ -516,24 +500,13 @@ SELECTS = {
     "build_fingerprint": _FINGERPRINT.replace("SALES", "fct_sales"),
     "pipeline_build": _FINGERPRINT.replace("SALES", "fct_sales"),
     "appended_bad_rows": f"""
-        with_relations
-        select sale_id, quarantine_reason from (
-          select sale_id, case
-            when sale_date is null then 'missing or unparseable sale_date'
-            when store_id is null then 'missing store_id'
-            when product_id is null then 'missing product_id'
-            when quantity is null then 'missing or unparseable quantity'
-            when quantity <= 0 then 'non-positive quantity'
-            when amount_eur is null then 'missing or unparseable amount_eur'
-            when amount_eur < 0 then 'negative amount_eur'
-            when discount_pct is null then 'missing or unparseable discount_pct'
-            else 'discount_pct outside 0-1' end as quarantine_reason
-          from (select sale_id, {_cast('sale_date', 'date')}, store_id, product_id,
-                       {_cast('quantity', 'integer')}, {_cast('unit_price_eur', 'double')},
-                       {_cast('discount_pct', 'double')}, {_cast('amount_eur', 'double')}
-                from (select * from raw_sales union all
-                      select * from {_BAD_ROWS} b({_SALES_COLUMNS})))
-          where not ({_VALID}))""".replace("with_relations", ""),
+        select sale_id, {_REASON} as quarantine_reason
+        from (select sale_id, {_cast('sale_date', 'date')}, store_id, product_id,
+                     {_cast('quantity', 'integer')}, {_cast('unit_price_eur', 'double')},
+                     {_cast('discount_pct', 'double')}, {_cast('amount_eur', 'double')}
+              from (select * from raw_sales union all
+                    select * from {_BAD_ROWS} b({_SALES_COLUMNS})))
+        where not ({_VALID})""",
     "keyed_update": """
         select supplier_id, supplier_name, country, city,
                case when supplier_id = 'SUP-0002' then 5 else nominal_lead_time_days end
