@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.llm import (
     decontamination,
     fingerprints,
+    html,
     jaccard,
     licenses,
     packing,
@@ -71,6 +72,10 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"), licenses.templates(spark))
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare(table(spark, folder, "documents"))
 
@@ -83,6 +88,7 @@ def queries() -> dict:
         "op4_ngram_jaccard": op4_ngram_jaccard,
         "op5_token_counts": op5_token_counts,
         "op6_decontamination": op6_decontamination,
+        "op7_html_extraction": op7_html_extraction,
         "op8_fingerprints": op8_fingerprints,
         "op9_license_scans": op9_license_scans,
         "op10_toxicity": op10_toxicity,
