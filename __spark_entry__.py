@@ -20,6 +20,15 @@ from shelfwise.sources.schemas import RAW_COLUMNS
 from shelfwise.sources.standin import StandIn
 from shelfwise.streaming import ingest
 
+try:  # the document operators are optional; a broken import inside them is not hidden
+    import corpus_pipeline
+    from shelfwise.llm import oracles as document_oracles
+    from shelfwise.llm import queries as document_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "shelfwise.llm"):
+        raise
+    corpus_pipeline = document_oracles = document_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_SNAPSHOT, SECOND_SNAPSHOT = "2026-07-18", "2026-07-19"
@@ -303,6 +312,16 @@ NARROW = {"store_ids": TWO_STORES, "threshold": WIDE_THRESHOLD}
 
 
 def queries() -> dict[str, Query]:
+    return _warehouse_queries() | _document_queries()
+
+
+def _document_queries() -> dict[str, Query]:
+    if document_queries is None:
+        return {}
+    return {**document_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _warehouse_queries() -> dict[str, Query]:
     return {
         # landing and staging
         "raw_sales_landing": _raw("sales"),
@@ -411,7 +430,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | (document_oracles.oracle_sql() if document_oracles else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -8,7 +8,10 @@ import time
 import duckdb
 import pandas as pd
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def database(folder: str) -> duckdb.DuckDBPyConnection:
