@@ -47,11 +47,19 @@ def projection() -> np.ndarray:
     return np.random.default_rng(20).standard_normal((BUCKETS, DIMENSIONS))
 
 
-def coordinates(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """The projected, length-normalised vector of one document's hashed token counts."""
-    buckets = (ids.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(22)
-    vector = np.sqrt(np.bincount(buckets, minlength=BUCKETS))
-    return vector @ matrix / (np.linalg.norm(vector) or 1.0)
+def coordinates(documents: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
+    """The projected, length-normalised vectors of documents' hashed token counts."""
+    out = np.zeros((len(documents), matrix.shape[1]))
+    for begin in range(0, len(documents), 256):
+        some = documents[begin : begin + 256]
+        owner = np.repeat(np.arange(len(some)) * BUCKETS, [len(ids) for ids in some])
+        ids = np.concatenate(some).astype(np.uint32)
+        buckets = (ids * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+        counts = np.bincount(owner + buckets, minlength=len(some) * BUCKETS)
+        vectors = np.sqrt(counts.reshape(len(some), BUCKETS))
+        size = np.linalg.norm(vectors, axis=1, keepdims=True)
+        out[begin : begin + 256] = vectors @ matrix / np.maximum(size, 1)
+    return out
 
 
 def hilbert_key(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
@@ -97,10 +105,8 @@ def _encoded(documents: DataFrame, file: str) -> DataFrame:
         row = TaskContext.get().partitionId() << 33
         final = np.array([FINAL_ID], dtype=encoder.dtype).tobytes()
         for batch in batches:
-            ids, at = [], np.zeros((batch.num_rows, DIMENSIONS))
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                ids.append(encoder.of(text or "") + final)
-                at[k] = coordinates(np.frombuffer(ids[-1], encoder.dtype), matrix)
+            ids = [encoder.of(text or "") + final for text in batch.column(1).to_pylist()]
+            at = coordinates([np.frombuffer(x, encoder.dtype) for x in ids], matrix)
             size = encoder.dtype.itemsize
             yield pa.RecordBatch.from_arrays(
                 [

@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 FREQUENT = 32_768
 PROPOSED = 4_096
 #: Entries of a worker's cache; pre-tokens beyond it are encoded each time.
-CACHED = 500_000
+CACHED = 1_000_000
+#: Entries of its cache of units from space to space.
+CACHED_UNITS = 250_000
 #: Longer pre-tokens are not kept.
 CACHED_LENGTH = 64
 MAX_TOKENS = 1024
@@ -57,6 +59,17 @@ PRE_TOKEN = re.compile(
 _UNCHECKED = re.compile("[^\\x00-\\u024f\\u2010-\\u2027\\u2030-\\u205e\\u20ac]")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own character where
+    that is printable, else the next one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in printable)
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class PreTokens:
     """Cuts texts as the tokenizer in ``file`` does; None where the library must see all."""
 
@@ -65,18 +78,33 @@ class PreTokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(file)
+        self.model = self.library.model
         added = self.library.get_added_tokens_decoder().values()
-        self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
+        self.special = [t.content for t in added]
         self.cuts = (
             self.library.normalizer is None
             and "ByteLevel(add_prefix_space=False" in repr(self.library.pre_tokenizer)
             and "use_regex=True" in repr(self.library.pre_tokenizer)
         )
 
+    def cuttable(self, text: str) -> bool:
+        if not self.cuts or any(s in text for s in self.special):
+            return False
+        try:
+            text.encode("latin-1")  # the quick test; every character of it is in the alphabet
+            return True
+        except UnicodeEncodeError:
+            return not _UNCHECKED.search(text)
+
     def of(self, text: str) -> list[str] | None:
-        if not self.cuts or _UNCHECKED.search(text) or self.special.search(text):
-            return None
-        return PRE_TOKEN.findall(text)
+        return PRE_TOKEN.findall(text) if self.cuttable(text) else None
+
+    def encode_one(self, pre_token: str) -> list[int]:
+        """The ids of one pre-token, from the library's model alone."""
+        if not self.cuts:
+            return self.encode(pre_token)
+        seen = pre_token.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [token.id for token in self.model.tokenize(seen)]
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -90,29 +118,56 @@ class Cache(dict):
         self.pre_tokens, self.value, self.room = pre_tokens, value, CACHED
 
     def __missing__(self, pre_token: str):
-        found = self.value(self.pre_tokens.encode(pre_token))
+        found = self.value(self.pre_tokens.encode_one(pre_token))
         if self.room > 0 and len(pre_token) <= CACHED_LENGTH:
             self[pre_token] = found
             self.room -= 1
         return found
 
 
+class _Units(dict):
+    """Encodings of what stands between spaces, each with the space before it."""
+
+    def __init__(self, pre_tokens: Cache):
+        super().__init__()
+        self.pre_tokens = pre_tokens
+
+    def __missing__(self, unit: str) -> bytes:
+        found = b"".join(map(self.pre_tokens.__getitem__, PRE_TOKEN.findall(" " + unit)))
+        if len(self) < CACHED_UNITS and len(unit) <= CACHED_LENGTH:
+            self[unit] = found
+        return found
+
+
 class Ids:
-    """Token ids of texts as little-endian unsigned numbers, 2 bytes where the vocabulary fits."""
+    """Token ids of texts as little-endian unsigned numbers, 2 bytes where the vocabulary fits.
+
+    A pre-token begins at every single space, so a text is looked up in units from space to
+    space; a unit that is not known is put together from its pre-tokens. Where white space
+    stands on both sides of a space this does not hold, and the text is cut in pre-tokens.
+    """
+
+    _SPACED = re.compile(f"[{_SPACES}] [{_SPACES}]")
 
     def __init__(self, file: str):
         self.pre_tokens = PreTokens(file)
         self.dtype = np.dtype("<u2" if self.pre_tokens.library.get_vocab_size() <= 65536 else "<u4")
         self.cache = Cache(self.pre_tokens, self._bytes)
+        self.units = _Units(self.cache)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def of(self, text: str) -> bytes:
-        cut = self.pre_tokens.of(text)
-        if cut is None:
+        if not self.pre_tokens.cuttable(text):
             return self._bytes(self.pre_tokens.encode(text))
-        return b"".join(map(self.cache.__getitem__, cut))
+        if self._SPACED.search(text):
+            return b"".join(map(self.cache.__getitem__, PRE_TOKEN.findall(text)))
+        first, *rest = text.split(" ")
+        return b"".join((
+            *map(self.cache.__getitem__, PRE_TOKEN.findall(first)),
+            *map(self.units.__getitem__, rest),
+        ))
 
 
 _WORKER: dict = {}
@@ -144,8 +199,8 @@ def frequent_lengths(documents: DataFrame, file: str) -> dict[str, int]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 counts.update(pre_tokens.of(text or "") or ())
-            if len(counts) > 2 * CACHED:
-                counts = Counter(dict(counts.most_common(CACHED)))
+            if len(counts) > CACHED:
+                counts = Counter(dict(counts.most_common(CACHED // 4)))
         best = [(p, n) for p, n in counts.most_common(PROPOSED) if len(p) <= CACHED_LENGTH]
         yield pa.RecordBatch.from_pydict(
             {"pre_token": pa.array([p for p, _ in best], pa.string()),
@@ -158,7 +213,7 @@ def frequent_lengths(documents: DataFrame, file: str) -> dict[str, int]:
         .orderBy(F.desc("n"), "pre_token").limit(FREQUENT).collect()
     )
     pre_tokens = PreTokens(file)
-    return {row["pre_token"]: len(pre_tokens.encode(row["pre_token"])) for row in top}
+    return {row["pre_token"]: len(pre_tokens.encode_one(row["pre_token"])) for row in top}
 
 
 def count_tokens(documents: DataFrame, file: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
