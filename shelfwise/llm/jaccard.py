@@ -55,6 +55,8 @@ PIECE = 1_000
 BROADCAST_ROWS = 2_000_000
 #: The weight of probing against merging in DivideSkip's choice of long lists.
 _MU = 0.01
+#: Short lists of more items in sum are merged in arrays instead of a heap.
+_HEAP_ITEMS = 256
 
 
 def least_overlap(size: int) -> int:
@@ -88,9 +90,13 @@ def divide_skip(lists: list[np.ndarray], needed: int) -> dict[int, int]:
     longest = len(lists[-1])
     aside = min(needed - 1, int(needed / (_MU * np.log2(longest + 1) + 1)))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    merged = heapq.merge(*(x.tolist() for x in short))
-    often = [(m, n) for m, n in ((m, sum(1 for _ in same)) for m, same in groupby(merged))
-             if n >= needed - aside]
+    if sum(map(len, short)) <= _HEAP_ITEMS:
+        merged = [(m, sum(1 for _ in same)) for m, same in groupby(heapq.merge(*short))]
+    else:  # a stable sort merges runs that are sorted, without a Python step for each item
+        runs = np.sort(np.concatenate(short), kind="stable")
+        first = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
+        merged = zip(runs[first].tolist(), np.diff(np.append(first, len(runs))).tolist())
+    often = [(m, n) for m, n in merged if n >= needed - aside]
     if not often:
         return {}
     members = np.array([m for m, _ in often])
@@ -104,10 +110,14 @@ def divide_skip(lists: list[np.ndarray], needed: int) -> dict[int, int]:
 class Index:
     """Inverted lists over the sets of some classes."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], only: np.ndarray | None = None):
+        """``only``: the one set that will be searched for; other shingles get no list."""
         self.sizes = [len(s) for s in sets]
         every = np.concatenate(sets) if sets else np.array([], np.uint64)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
+        if only is not None:
+            at = np.minimum(np.searchsorted(only, every), len(only) - 1)
+            every, owner = every[only[at] == every], owner[only[at] == every]
         order = np.lexsort((owner, every))
         every, self.owner = every[order], owner[order]
         self.shingles, self.starts = np.unique(every, return_index=True)
@@ -115,6 +125,8 @@ class Index:
 
     def search(self, query: np.ndarray) -> list[int]:
         """The classes linked to the set ``query``."""
+        if not len(self.shingles):
+            return []
         at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
         at = at[self.shingles[at] == query]
         lists = [self.owner[self.starts[k] : self.ends[k]] for k in at]
@@ -195,7 +207,7 @@ def _frequent(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(documents: DataFrame, frequent, buckets: int) -> DataFrame:
-    """(bucket, shingles, classes, sizes): packed prefix entries of each batch by shingle range."""
+    """(bucket, shingles, classes, sizes, places): prefix entries, packed by shingle range."""
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,6 +230,7 @@ def _prefixes(documents: DataFrame, frequent, buckets: int) -> DataFrame:
             classes = np.frombuffer(b"".join(own for _, own in parts), dtype=">u8").reshape(-1, 2)
             owner = np.repeat(np.arange(len(parts)), counts)
             size = np.array(sizes, dtype=np.int32)
+            place = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
             bucket = ((every >> np.uint64(33)) * np.uint64(buckets)) >> np.uint64(31)
             order = np.argsort(bucket, kind="stable")
             borders = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -225,48 +238,78 @@ def _prefixes(documents: DataFrame, frequent, buckets: int) -> DataFrame:
             for b in np.flatnonzero(np.diff(borders)):
                 mine = order[borders[b] : borders[b + 1]]
                 rows.append((int(b), every[mine].tobytes(), classes[owner[mine]].tobytes(),
-                             size[owner[mine]].tobytes()))
+                             size[owner[mine]].tobytes(), place[mine].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
-                    pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
-                ["bucket", "shingles", "classes", "sizes"],
+                    pa.int32(), *[pa.binary()] * 4), strict=True)],
+                ["bucket", "shingles", "classes", "sizes", "places"],
             )
 
     return documents.select("text").mapInArrow(
-        emit, "bucket int, shingles binary, classes binary, sizes binary"
+        emit, "bucket int, shingles binary, classes binary, sizes binary, places binary"
+    )
+
+
+def _may_link(sizes: np.ndarray, places: np.ndarray, others: np.ndarray, at: np.ndarray):
+    """Whether sets of such sizes can be linked when the shingle at these places of their orders
+    is the first they share: what follows must suffice for the overlap."""
+    needed = -(-PERCENT * (sizes + others) // (100 + PERCENT))
+    return (sizes - places >= needed) & (others - at >= needed) & (
+        100 * np.minimum(sizes, others) >= PERCENT * np.maximum(sizes, others)
     )
 
 
 def _blocks(prefixes: DataFrame) -> DataFrame:
-    """(members, sizes): the classes that share a shingle of their prefixes, by size."""
+    """(members, sizes): the classes that share a shingle of their prefixes, by size.
+
+    Two linked sets meet in the block of the first shingle they share. A class that cannot be
+    linked to any other of a block by way of that block's shingle is left out of it.
+    """
 
     def gather(table: pa.Table) -> pa.Table:
         def joined(name: str, dtype) -> np.ndarray:
             return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=dtype)
 
-        shingle, size = joined("shingles", np.uint64), joined("sizes", np.int32)
+        shingle, size = joined("shingles", np.uint64), joined("sizes", np.int32).astype(np.int64)
+        place = joined("places", np.int32).astype(np.int64)
         halves = joined("classes", ">u8").reshape(-1, 2).astype(np.uint64)
-        # Entries of shingles that occur once need no sorting by class.
-        order = np.argsort(shingle, kind="stable")
-        sorted_shingles = shingle[order]
-        same = sorted_shingles[1:] == sorted_shingles[:-1]
-        shared = np.zeros(len(order), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        order = order[shared]
-        shingle, size, halves = shingle[order], size[order], halves[order]
-        order = np.lexsort((halves[:, 1], halves[:, 0], size, shingle))
-        shingle, size, halves = shingle[order], size[order], halves[order]
-        fresh = np.ones(len(shingle), bool)
-        fresh[1:] = (shingle[1:] != shingle[:-1]) | (halves[1:] != halves[:-1]).any(axis=1)
-        shingle, size, halves = shingle[fresh], size[fresh], halves[fresh]
+
+        def pick(rows) -> None:
+            nonlocal shingle, size, place, halves
+            shingle, size, place, halves = shingle[rows], size[rows], place[rows], halves[rows]
+
+        def shared() -> np.ndarray:
+            """Whether an entry's neighbour has the same shingle."""
+            same = np.append(False, shingle[1:] == shingle[:-1])
+            return same | np.append(same[1:], False)
+
+        pick(np.argsort(shingle, kind="stable"))
+        pick(shared())
+        pick(np.lexsort((halves[:, 1], halves[:, 0], size, shingle)))
+        if len(shingle):
+            pick(np.append(True, (shingle[1:] != shingle[:-1]) | (halves[1:] != halves[:-1]).any(axis=1)))
+        pick(shared())
+        if len(shingle):
+            starts = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+            ends = np.append(starts[1:], len(shingle))
+            keep = np.ones(len(shingle), bool)
+            two = starts[ends - starts == 2]
+            keep[two] = keep[two + 1] = _may_link(
+                size[two], place[two], size[two + 1], place[two + 1]
+            )
+            for a, b in zip(starts, ends, strict=True):
+                if 2 < b - a <= PIECE:
+                    fits = _may_link(size[a:b, None], place[a:b, None], size[a:b], place[a:b])
+                    np.fill_diagonal(fits, False)
+                    keep[a:b] = fits.any(axis=1)
+            pick(keep)
         names = halves.astype(">u8").tobytes()
-        starts = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])) if len(shingle) else []
-        ends = [*starts[1:], len(shingle)] if len(shingle) else []
+        packed = size.astype(np.int32)
         blocks: dict[bytes, bytes] = {}
-        for a, b in zip(starts, ends, strict=True):
-            if b - a > 1:
-                blocks[names[16 * a : 16 * b]] = size[a:b].tobytes()
+        if len(shingle):
+            starts = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+            for a, b in zip(starts, np.append(starts[1:], len(shingle)), strict=True):
+                blocks[names[16 * a : 16 * b]] = packed[a:b].tobytes()
         return pa.table({
             "members": pa.array([*blocks], pa.binary()),
             "sizes": pa.array([*blocks.values()], pa.binary()),
@@ -360,7 +403,7 @@ def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
 
             def flush() -> None:
                 if names:
-                    found.extend((head, names[m]) for m in Index(sets_).search(query))
+                    found.extend((head, names[m]) for m in Index(sets_, query).search(query))
                 names.clear()
                 sets_.clear()
 
@@ -430,7 +473,7 @@ def _open_pieces(blocks: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _piece_links(pieces: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between classes of different components within pairs of pieces."""
+    """Links that connect classes of different components, within pairs of pieces."""
 
     def search(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -439,10 +482,20 @@ def _piece_links(pieces: DataFrame, sets: DataFrame) -> DataFrame:
         first = [r for r in rows if r[0] == i]
         second = [r for r in rows if r[0] == j]
         index = Index([np.frombuffer(r[3], np.uint64) for r in first])
-        found = [
-            (first[m][1], r[1]) for r in second
-            for m in index.search(np.frombuffer(r[3], np.uint64)) if first[m][2] != r[2]
-        ]
+        found = []
+        known: dict[bytes, bytes] = {}
+
+        def root(component: bytes) -> bytes:
+            while component in known:
+                component = known[component]
+            return component
+
+        for r in second:  # of the links, those that connect what was not connected here before
+            for m in index.search(np.frombuffer(r[3], np.uint64)):
+                a, b = root(first[m][2]), root(r[2])
+                if a != b:
+                    known[max(a, b)] = min(a, b)
+                    found.append((first[m][1], r[1]))
         return pa.table({k: pa.array([p[n] for p in found], pa.binary()) for n, k in enumerate("xy")})
 
     met = pieces.join(sets.select("class", "shingles"), "class")
