@@ -11,6 +11,8 @@ are connected; equal sets are one class from the start and are never paired.
    that blocks (classes that share such a shingle) stay small. The order decides the cost only.
 3. Each block's least class is searched against the others. The links found join classes to
    components.
+   A sketch of each set (counts by hash range) bounds overlaps from above; pairs and members that
+   it rules out are left out before whole sets are moved.
 4. Blocks that still hold several components are searched in full, each class against all others
    of another component, in pieces of at most ``PIECE`` classes: one piece against another, so
    that a block of any size is divided among tasks. Nothing is capped.
@@ -82,31 +84,6 @@ def _order(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.
     return shingles[np.lexsort((shingles, count))]
 
 
-def divide_skip(lists: list[np.ndarray], needed: int) -> dict[int, int]:
-    """Members (and how often they occur) of at least ``needed`` of the sorted lists."""
-    lists = sorted((x for x in lists if len(x)), key=len)
-    if needed < 1 or len(lists) < needed:
-        return {}
-    longest = len(lists[-1])
-    aside = min(needed - 1, int(needed / (_MU * np.log2(longest + 1) + 1)))
-    short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    if sum(map(len, short)) <= _HEAP_ITEMS:
-        merged = [(m, sum(1 for _ in same)) for m, same in groupby(heapq.merge(*short))]
-    else:  # a stable sort merges runs that are sorted, without a Python step for each item
-        runs = np.sort(np.concatenate(short), kind="stable")
-        first = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
-        merged = zip(runs[first].tolist(), np.diff(np.append(first, len(runs))).tolist())
-    often = [(m, n) for m, n in merged if n >= needed - aside]
-    if not often:
-        return {}
-    members = np.array([m for m, _ in often])
-    total = np.array([n for _, n in often])
-    for x in long:
-        at = np.minimum(np.searchsorted(x, members), len(x) - 1)
-        total += x[at] == members
-    return {int(m): int(n) for m, n in zip(members, total, strict=True) if n >= needed}
-
-
 class Index:
     """Inverted lists over the sets of some classes."""
 
@@ -122,16 +99,108 @@ class Index:
         every, self.owner = every[order], owner[order]
         self.shingles, self.starts = np.unique(every, return_index=True)
         self.ends = np.append(self.starts[1:], len(every))
+        number = np.repeat(np.arange(len(self.shingles)), self.ends - self.starts)
+        self.keys = number * max(1, len(sets)) + self.owner  # sorted; a list's members in a row
 
     def search(self, query: np.ndarray) -> list[int]:
-        """The classes linked to the set ``query``."""
+        """The classes linked to the set ``query``, by DivideSkip.
+
+        The longest lists are set aside; what occurs in the short ones often enough to reach the
+        overlap with all of the long ones is then looked for in these by bisection, or counted
+        there where that touches fewer entries.
+        """
+        needed, members = least_overlap(len(query)), len(self.sizes)
         if not len(self.shingles):
             return []
         at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
-        at = at[self.shingles[at] == query]
-        lists = [self.owner[self.starts[k] : self.ends[k]] for k in at]
-        found = divide_skip(lists, least_overlap(len(query)))
-        return [m for m, n in found.items() if linked(n, len(query), self.sizes[m])]
+        lists = at[self.shingles[at] == query]
+        if len(lists) < needed:
+            return []
+        lengths = self.ends[lists] - self.starts[lists]
+        lists = lists[np.argsort(lengths, kind="stable")]
+        aside = min(needed - 1, int(needed / (_MU * np.log2(lengths.max() + 1) + 1)))
+        short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
+        counts = self._merged(short)
+        often = np.flatnonzero(counts >= needed - aside)
+        if not len(often):
+            return []
+        rest = int((self.ends[long] - self.starts[long]).sum())
+        if len(often) * len(long) * 4 < rest:
+            wanted = (long[:, None] * members + often).ravel()
+            places = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            held = (self.keys[places] == wanted).reshape(len(long), len(often))
+            counts[often] += held.sum(axis=0)
+        else:
+            counts += self._counted(long)
+        return [
+            int(m) for m in often
+            if counts[m] >= needed and linked(int(counts[m]), len(query), self.sizes[m])
+        ]
+
+    def _entries(self, lists: np.ndarray) -> np.ndarray:
+        """The members in some lists, one list after the other."""
+        lengths = self.ends[lists] - self.starts[lists]
+        before = np.cumsum(lengths) - lengths
+        return self.owner[np.arange(lengths.sum()) + np.repeat(self.starts[lists] - before, lengths)]
+
+    def _counted(self, lists: np.ndarray) -> np.ndarray:
+        return np.bincount(self._entries(lists), minlength=len(self.sizes))
+
+    def _merged(self, lists: np.ndarray) -> np.ndarray:
+        """How often each member is in the lists: a heap merges them while they are short in
+        sum; longer ones are counted in arrays, without a Python step for each entry."""
+        if int((self.ends[lists] - self.starts[lists]).sum()) > _HEAP_ITEMS:
+            return self._counted(lists)
+        counts = np.zeros(len(self.sizes), np.int64)
+        merged = heapq.merge(*(self.owner[self.starts[k] : self.ends[k]].tolist() for k in lists))
+        for member, same in groupby(merged):
+            counts[member] = sum(1 for _ in same)
+        return counts
+
+
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of equal hash ranges, about four in each; empty where a
+    count needs more than a byte."""
+    bits = max(4, int(np.ceil(np.log2(max(len(shingles), 1) / 4))))
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return b"" if counts.max() > 255 else counts.astype(np.uint8).tobytes()
+
+
+def _folded(sketches: np.ndarray, ranges: int) -> np.ndarray:
+    """Sketches (one a row) over fewer ranges."""
+    if sketches.shape[1] == ranges:
+        return sketches.astype(np.int32)
+    return sketches.reshape(len(sketches), ranges, -1).sum(axis=2, dtype=np.int32)
+
+
+class Sketches:
+    """An upper bound of the overlaps with many sets: the shingles two sets share lie in the same
+    ranges, so no more than the smaller count of each."""
+
+    def __init__(self, sketches: list[bytes], sizes: list[int]):
+        self.sizes = np.array(sizes, dtype=np.int64)
+        widths = np.array([len(s) for s in sketches])
+        self.groups = [
+            (np.flatnonzero(widths == w), np.frombuffer(
+                b"".join(s for s in sketches if len(s) == w), np.uint8).reshape(-1, w) if w else None)
+            for w in np.unique(widths)
+        ]
+        self._memory: dict[tuple[int, int], np.ndarray] = {}
+
+    def may_link(self, sketch: bytes, size: int) -> np.ndarray:
+        """For each set whether it can be linked to the one with this sketch."""
+        out = 100 * np.minimum(self.sizes, size) >= PERCENT * np.maximum(self.sizes, size)
+        own = np.frombuffer(sketch, np.uint8).reshape(1, -1)
+        for k, (members, counts) in enumerate(self.groups):
+            if counts is None or not sketch or not out[members].any():
+                continue
+            ranges = min(counts.shape[1], own.shape[1])
+            if (k, ranges) not in self._memory:
+                self._memory[k, ranges] = _folded(counts, ranges)
+            most = np.minimum(self._memory[k, ranges], _folded(own, ranges)).sum(axis=1)
+            needed = -(-PERCENT * (self.sizes[members] + size) // (100 + PERCENT))
+            out[members] &= most >= needed
+        return out
 
 
 def _described(documents: DataFrame) -> DataFrame:
@@ -154,8 +223,8 @@ def _described(documents: DataFrame) -> DataFrame:
 
         for batch in batches:
             sizes, classes = [], []
-            for text in batch.column(1).to_pylist():
-                shingles = shingle_set(text)
+            for text in batch.column(1):
+                shingles = shingle_set(text.as_py())
                 sizes.append(len(shingles))
                 classes.append(class_of(shingles) if len(shingles) else None)
                 if len(shingles) and classes[-1] not in seen:
@@ -214,8 +283,8 @@ def _prefixes(documents: DataFrame, frequent, buckets: int) -> DataFrame:
         for batch in batches:
             seen: set[bytes] = set()
             parts, sizes, counts = [], [], []
-            for text in batch.column(0).to_pylist():
-                shingles = shingle_set(text)
+            for text in batch.column(0):
+                shingles = shingle_set(text.as_py())
                 n = len(shingles)
                 if not n or (own := class_of(shingles)) in seen:
                     continue
@@ -345,7 +414,7 @@ def _stars(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(class, n, shingles packed) of every class that is in a block, once."""
+    """(class, n, sketch, shingles packed) of every class that is in a block, once."""
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = {m[i : i + 16] for m in batch.column(0).to_pylist() for i in range(0, len(m), 16)}
@@ -364,14 +433,16 @@ def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> Data
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in map(shingle_set, batch.column(0).to_pylist()) if len(s)]
+            sets = [s for s in (shingle_set(t.as_py()) for t in batch.column(0)) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_of(s) for s in sets], pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "n", "shingles"],
+                 pa.array([sketch_of(s) for s in sets], pa.binary()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["class", "n", "sketch", "shingles"],
             )
 
-    packed = picked.select("text").mapInArrow(pack, "class binary, n long, shingles binary")
+    packed = picked.select("text").mapInArrow(pack, "class binary, n long, sketch binary, shingles binary")
     return written(
         packed.join(first.select("class"), "class", "left_semi").dropDuplicates(["class"]),
         "jaccard_sets",
@@ -381,9 +452,24 @@ def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> Data
 def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) of ``stars`` that are linked.
 
-    The sets of all y stream past their x, which comes first; a first class with very many
-    partners is divided among tasks.
+    Sketches rule out most pairs before any set is moved. The sets of all y stream past their x,
+    which comes first; a first class with very many partners is divided among tasks.
     """
+    def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, n, b, m = (batch.column(c).to_pylist() for c in (2, 3, 4, 5))
+            keep = [
+                bool(Sketches([first], [size]).may_link(second, other)[0])
+                for first, size, second, other in zip(a, n, b, m, strict=True)
+            ]
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    narrow = sets.select("class", "sketch", "n")
+    stars = stars.join(narrow.toDF("x", "x_sketch", "x_n"), "x").join(
+        narrow.toDF("y", "y_sketch", "y_n"), "y"
+    ).select("x", "y", "x_sketch", "x_n", "y_sketch", "y_n").mapInArrow(
+        rule_out, "x binary, y binary"
+    )
     salted = F.pmod(F.xxhash64("y"), F.lit(64)).cast("int")
     stars = written(stars.withColumn("salt", salted), "jaccard_stars")
     members = stars.join(
@@ -498,6 +584,29 @@ def _piece_links(pieces: DataFrame, sets: DataFrame) -> DataFrame:
                     found.append((first[m][1], r[1]))
         return pa.table({k: pa.array([p[n] for p in found], pa.binary()) for n, k in enumerate("xy")})
 
+    def rule_out(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        piece = np.array(table.column("piece").to_pylist())
+        names, sketches, sizes, components_ = (
+            table.column(c).to_pylist() for c in ("class", "sketch", "n", "component"))
+        own = np.array([hash(c) for c in components_])
+        first, second = np.flatnonzero(piece == i), np.flatnonzero(piece == j)
+        bound = Sketches([sketches[k] for k in first], [sizes[k] for k in first])
+        keep = np.zeros(len(names), bool)
+        for k in second:
+            near = bound.may_link(sketches[k], sizes[k]) & (own[first] != own[k])
+            if near.any():
+                keep[k] = True
+                keep[first[near]] = True
+        return table.select(["block", "i", "j", "piece", "class", "component"]).filter(
+            pa.array(keep)
+        )
+
+    pieces = written(
+        pieces.join(sets.select("class", "sketch", "n"), "class").groupBy("block", "i", "j")
+        .applyInArrow(rule_out, "block binary, i int, j int, piece int, class binary, component binary"),
+        "jaccard_open",
+    )
     met = pieces.join(sets.select("class", "shingles"), "class")
     return met.groupBy("block", "i", "j").applyInArrow(search, "x binary, y binary")
 
