@@ -170,12 +170,17 @@ def _partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _changed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The manifest holds an earlier listing, taken when half the orders were still open."""
+    """Days of files to upload and of files to skip, by a manifest of an earlier listing that was
+    taken when the open orders had not arrived yet."""
     from shelfwise.sources import manifest
 
-    zone, orders = _orders_zone(spark, folder)
-    return manifest.transfer_report(
-        manifest.listing(spark, zone), manifest.listing(spark, f"{zone}/delivered")
+    zone, _ = _orders_zone(spark, folder)
+    now = written(manifest.listing(spark, zone), "listing")
+    changed = manifest.changed_files(now, now.filter(F.startswith("key", F.lit("delivered/"))))
+    day = F.regexp_extract("key", "dt=([^/]*)", 1)
+    return now.join(changed.select("key", F.lit(True).alias("new")), "key", "left").agg(
+        F.count_distinct(F.when(F.col("new"), day)).alias("uploaded_days"),
+        F.count_distinct(F.when(F.col("new").isNull(), day)).alias("skipped_days"),
     )
 
 

@@ -375,6 +375,12 @@ SELECTS = {
     "raw_sales_landing": "select * from raw_sales",
     "raw_inventory_landing": "select * from raw_inventory_snapshots",
     "raw_purchase_orders_landing": "select * from raw_purchase_orders",
+    "changed_files": """
+        select count(distinct order_date) filter (where actual_delivery_date = '')
+                 as uploaded_days,
+               count(distinct order_date) filter (where actual_delivery_date <> '')
+                 as skipped_days
+        from raw_purchase_orders""",
     "stg_suppliers": "select * from stg_suppliers",
     "stg_products": "select * from stg_products",
     "stg_stores": "select * from stg_stores",

@@ -16,8 +16,6 @@ from shelfwise.functions.keys import business_key
 from shelfwise.session import spread
 
 SNAPSHOT_DAYS = 7
-# The store keys of the schema: 0 to 24, at every scale.
-LAST_STORE = 24
 # Which residue of (7 * order + part) mod 400 plants which defect.
 DEFECT_MODULUS = 400
 
@@ -126,15 +124,11 @@ class StandIn:
         score = 75 + (supplier * 37) % 25
         penalty = F.when(score >= 95, 0).when(score >= 85, 2).otherwise(5)
         stock = (part * 31 + store * 17 + back * 7) % 61 - penalty
+        stores = self.table("nation").agg(F.collect_set("n_nationkey")).scalar()
         return (
-            # Each part fans out to 25 stores x 7 days, so small inputs are spread first.
+            # Each part fans out to all stores and 7 days, so small inputs are spread first.
             spread(self.table("part").select("p_partkey"), "p_partkey")
-            .withColumn("store_key", F.explode(F.sequence(F.lit(0), F.lit(LAST_STORE))))
-            .join(
-                self.table("nation").select(F.col("n_nationkey").alias("store_key")),
-                "store_key",
-                "left_semi",
-            )
+            .withColumn("store_key", F.explode(stores))
             .withColumn("days_back", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_DAYS - 1))))
             .select(
                 F.date_sub(self.last_ship_date(), back).cast("string").alias("snapshot_date"),
