@@ -43,6 +43,8 @@ SHRINK_TO_DIAGONAL = 0.2
 SHRINK_TO_POOLED = 0.1
 #: Added to every variance, in units of squared log ratios.
 RIDGE = 0.1
+#: Ids of at most so many label rows are broadcast to pick rows out of the texts.
+BROADCAST_ROWS = 2_000_000
 
 _DECORATED = re.compile(r"[#$%&*@^~!|](?!\S)")
 _CAPITALS = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{2,}\b")
@@ -241,9 +243,13 @@ def classify(documents: DataFrame, labels: DataFrame, fold: int = 3, held_out: i
 def keep_good(documents: DataFrame, learn_from: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` that the classifier accepts, all columns as they are.
 
-    Learns from the labelled rows of ``learn_from``; each row is judged by its own text.
+    Learns from the labelled rows of ``learn_from``; each row is judged by its own text. Texts
+    are never shuffled: a short list of labelled ids is broadcast to them, beyond
+    ``BROADCAST_ROWS`` every row is described and only its statistics meet the labels.
     """
-    sample = labels.select("doc_id").distinct()
-    known = written(described(learn_from.join(sample, "doc_id", "left_semi")), "quality_labelled")
+    ids = labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    if labels.count() <= BROADCAST_ROWS:
+        learn_from = learn_from.join(F.broadcast(ids), "doc_id", "left_semi")
+    known = written(described(learn_from), "quality_labelled")
     score = fit(known, labels).udf()(statistics(F.col("text")))
     return documents.filter(score >= 0.5)
