@@ -83,8 +83,16 @@ def _stored(name: str, *partition_by: str) -> Query:
 
 
 def _prior_sales(sales: DataFrame) -> DataFrame:
-    """Where an earlier load left off: two weeks back, its last day only partly arrived, and
-    amounts one off so that replacing a row shows."""
+    """Where an earlier load left off: two weeks back, with holes in every day, and amounts one
+    off so that replacing a row shows. Holes in older days must stay holes."""
+    last = F.date_sub(sales.agg(F.max("sale_date")).scalar(), 14)
+    return sales.filter((F.col("sale_date") <= last) & (F.col("quantity") % 7 != 3)).withColumn(
+        "amount_eur", F.col("amount_eur") + 1
+    )
+
+
+def _partial_sales(sales: DataFrame) -> DataFrame:
+    """The same with all older rows, its last day only partly arrived."""
     last = F.date_sub(sales.agg(F.max("sale_date")).scalar(), 14)
     arrived = (F.col("sale_date") < last) | (
         (F.col("sale_date") == last) & (F.col("quantity") <= 25)
@@ -92,9 +100,9 @@ def _prior_sales(sales: DataFrame) -> DataFrame:
     return sales.filter(arrived).withColumn("amount_eur", F.col("amount_eur") + 1)
 
 
-def _incremental(m: Models) -> DataFrame:
+def _incremental(m: Models, prior: Callable[[DataFrame], DataFrame] = _prior_sales) -> DataFrame:
     sales = written(marts.fct_sales(m.stg_sales), "sales")
-    return incremental.incremental_merge(sales, written(_prior_sales(sales), "prior"))
+    return incremental.incremental_merge(sales, written(prior(sales), "prior"))
 
 
 def _table_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -359,6 +367,7 @@ def _warehouse_queries() -> dict[str, Query]:
         "fct_inventory": _stored("fct_inventory", "snapshot_date"),
         "fct_purchase_orders": _stored("fct_purchase_orders"),
         "fct_sales_incremental": _with(_incremental),
+        "fct_sales_partial_day": _with(lambda m: _incremental(m, _partial_sales)),
         "fct_sales_table_load": _table_load,
         "pipeline_build": _pipeline_build,
         # history
@@ -419,6 +428,8 @@ def _warehouse_queries() -> dict[str, Query]:
         "usage_total": _usage(lambda log: usage.usage_total(log, "purchase")),
         "usage_7day_avg": _usage(_storage),
         "usage_top5": _usage(usage.busiest_types),
+        "usage_top2_of_two": _usage(
+            lambda log: usage.busiest_types(log, only=("purchase", "view"))),
         # planning
         "weekday_profile": _with(lambda m: planning.weekday_profile(m.stg_sales)),
         "reorder_policy": _with(_policy),
@@ -427,10 +438,11 @@ def _warehouse_queries() -> dict[str, Query]:
                 serving.latest_snapshot(m.stg_inventory_snapshots), _policy(m))),
         "stock_ledger": _with(
             lambda m: planning.stock_ledger(
-                m.stg_inventory_snapshots, m.stg_sales, m.stg_purchase_orders)),
+                m.keep("stg_inventory_snapshots").stg_inventory_snapshots, m.stg_sales, m.stg_purchase_orders)),
         "fill_rate": _with(lambda m: planning.fill_rate(m.stg_purchase_orders)),
         "in_transit": _with(
-            lambda m: planning.in_transit(m.stg_inventory_snapshots, m.stg_purchase_orders)),
+            lambda m: planning.in_transit(
+                m.keep("stg_inventory_snapshots").stg_inventory_snapshots, m.stg_purchase_orders)),
     }
 
 

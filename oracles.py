@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import re
 
-from shelfwise.functions.validity import SALE_DEFECTS, SALE_RULES
-from shelfwise.plans.contract import full_contract
-
 # Categories that occur in the given data.
 PART_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
@@ -28,10 +25,22 @@ def _round(value: str, digits: int) -> str:
 _DEFECT = "(l_orderkey * 7 + l_partkey) % 400"
 _DAY = "cast(cast(l_shipdate as date) as varchar)"
 _QTY = "cast(cast(l_quantity as integer) as varchar)"
-_VALID = " and ".join(f"coalesce({rule}, false)" for rule in SALE_RULES)
-_REASON = "case {} end".format(
-    " ".join(f"when {defect} then '{reason}'" for reason, defect in SALE_DEFECTS)
-)
+# The validity rule of a sale row, and the reasons in the order they are reported.
+_VALID = """(
+    sale_date is not null and store_id is not null and product_id is not null
+    and quantity is not null and quantity > 0
+    and amount_eur is not null and amount_eur >= 0
+    and discount_pct is not null and discount_pct between 0 and 1)"""
+_REASON = """case
+    when sale_date is null then 'missing or unparseable sale_date'
+    when store_id is null then 'missing store_id'
+    when product_id is null then 'missing product_id'
+    when quantity is null then 'missing or unparseable quantity'
+    when quantity <= 0 then 'non-positive quantity'
+    when amount_eur is null then 'missing or unparseable amount_eur'
+    when amount_eur < 0 then 'negative amount_eur'
+    when discount_pct is null then 'missing or unparseable discount_pct'
+    else 'discount_pct outside 0-1' end"""
 
 # name -> SELECT; a SELECT may read the given tables and the names listed here.
 RELATIONS = {
@@ -154,7 +163,8 @@ RELATIONS = {
                cast(actual_delivery_date - order_date as integer) as actual_lead_time_days,
                cast(actual_delivery_date - promised_date as integer) as delay_days,
                actual_delivery_date is null as is_open,
-               actual_delivery_date > promised_date as is_late
+               case when actual_delivery_date is null then null
+                 when actual_delivery_date > promised_date then true else false end as is_late
         from stg_purchase_orders""",
     "dim_suppliers": """
         select supplier_id, supplier_name, country, city, nominal_lead_time_days,
@@ -176,7 +186,9 @@ RELATIONS = {
                cast(extract(day from date_day) as integer) as day_of_month,
                cast(extract(isodow from date_day) as integer) as iso_day_of_week,
                cast(extract(week from date_day) as integer) as iso_week,
-               dayname(date_day) as weekday_name,
+               case extract(isodow from date_day) when 1 then 'Monday' when 2 then 'Tuesday'
+                 when 3 then 'Wednesday' when 4 then 'Thursday' when 5 then 'Friday'
+                 when 6 then 'Saturday' else 'Sunday' end as weekday_name,
                extract(isodow from date_day) >= 6 as is_weekend
         from (select distinct snapshot_date as date_day from stg_inventory_snapshots)""",
     "fct_sales": "select * from stg_sales",
@@ -186,12 +198,20 @@ RELATIONS = {
         select sale_id, sale_date, store_id, product_id, quantity, unit_price_eur,
                discount_pct, amount_eur + 1 as amount_eur
         from stg_sales cross join prior_day
-        where sale_date < d or (sale_date = d and quantity <= 25)""",
+        where sale_date <= d and quantity % 7 <> 3""",
     "sales_batch": """
         select * from stg_sales where sale_date >= (select max(sale_date) from prior_sales)""",
     "merged_sales": """
-        select * from prior_sales where sale_id not in (select sale_id from sales_batch)
+        select p.* from prior_sales p
+        where not exists (select 1 from sales_batch b where b.sale_id = p.sale_id)
         union all select * from sales_batch""",
+    "partial_sales": """
+        select sale_id, sale_date, store_id, product_id, quantity, unit_price_eur,
+               discount_pct, amount_eur + 1 as amount_eur
+        from stg_sales cross join prior_day
+        where sale_date < d or (sale_date = d and quantity <= 25)""",
+    "partial_batch": """
+        select * from stg_sales where sale_date >= (select max(sale_date) from partial_sales)""",
     "suppliers_day2": """
         select supplier_id, supplier_name, country, city,
                case when nominal_lead_time_days = 6 then 5 else nominal_lead_time_days end
@@ -260,54 +280,133 @@ def over(select: str) -> str:
     return f"with {ctes}\n{select}"
 
 
+# The declared checks, one a line: table, kind, column, then bounds, values or parent.
+CHECKS = """
+stg_suppliers unique supplier_id
+stg_suppliers not_null supplier_id supplier_name nominal_lead_time_days reliability_score valid_from
+stg_suppliers range nominal_lead_time_days 1 60
+stg_suppliers range reliability_score 0 1
+stg_products expression unit_price_eur >= unit_cost_eur
+stg_products unique product_id
+stg_products not_null product_id category supplier_id unit_cost_eur unit_price_eur
+stg_products accepted category CATEGORIES
+stg_products references supplier_id stg_suppliers supplier_id
+stg_products range unit_cost_eur 0
+stg_products range unit_price_eur 0
+stg_stores unique store_id
+stg_stores not_null store_id store_name region
+stg_sales unique sale_id
+stg_sales not_null sale_id sale_date store_id product_id quantity discount_pct amount_eur
+stg_sales references store_id stg_stores store_id
+stg_sales references product_id stg_products product_id
+stg_sales range quantity 1
+stg_sales range discount_pct 0 1
+stg_sales range amount_eur 0
+stg_inventory_snapshots combination snapshot_date store_id product_id
+stg_inventory_snapshots not_null snapshot_date store_id product_id on_hand_qty reorder_point in_transit_qty
+stg_inventory_snapshots references store_id stg_stores store_id
+stg_inventory_snapshots references product_id stg_products product_id
+stg_inventory_snapshots range on_hand_qty 0
+stg_inventory_snapshots range reorder_point 0
+stg_inventory_snapshots range in_transit_qty 0
+stg_purchase_orders expression promised_date >= order_date
+stg_purchase_orders unique po_id
+stg_purchase_orders not_null po_id order_date supplier_id product_id store_id ordered_qty promised_date
+stg_purchase_orders references supplier_id stg_suppliers supplier_id
+stg_purchase_orders references product_id stg_products product_id
+stg_purchase_orders references store_id stg_stores store_id
+stg_purchase_orders range ordered_qty 1
+stg_purchase_orders range received_qty 0
+dim_suppliers unique supplier_id
+dim_suppliers not_null supplier_id reliability_tier reliability_score
+dim_suppliers accepted reliability_tier High Medium Low
+dim_suppliers range reliability_score 0 1
+dim_products unique product_id
+dim_products not_null product_id supplier_id margin_pct
+dim_products references supplier_id dim_suppliers supplier_id
+dim_products range margin_pct 0 1
+dim_stores unique store_id
+dim_stores not_null store_id region
+dim_date unique date_day
+dim_date not_null date_day iso_day_of_week
+dim_date range iso_day_of_week 1 7
+fct_sales unique sale_id
+fct_sales not_null sale_id sale_date store_id product_id quantity amount_eur
+fct_sales references sale_date dim_date date_day
+fct_sales references store_id dim_stores store_id
+fct_sales references product_id dim_products product_id
+fct_sales range quantity 1
+fct_sales range amount_eur 0
+fct_sales revenue_reconciles
+fct_inventory combination snapshot_date store_id product_id
+fct_inventory not_null snapshot_date store_id product_id on_hand_qty is_stockout
+fct_inventory references snapshot_date dim_date date_day
+fct_inventory references store_id dim_stores store_id
+fct_inventory references product_id dim_products product_id
+fct_inventory range on_hand_qty 0
+fct_inventory range days_of_cover 0
+fct_purchase_orders unique po_id
+fct_purchase_orders not_null po_id order_date supplier_id product_id store_id ordered_qty is_open
+fct_purchase_orders references supplier_id dim_suppliers supplier_id
+fct_purchase_orders references product_id dim_products product_id
+fct_purchase_orders references store_id dim_stores store_id
+fct_purchase_orders range ordered_qty 1
+fct_purchase_orders delivery_fields_agree
+fct_purchase_orders is_late_matches_dates
+"""
+
+# Rows that break a business rule.
+BROKEN = {
+    "revenue_reconciles":
+        "abs(amount_eur - (quantity * unit_price_eur * (1 - discount_pct))) > 0.01::double",
+    "delivery_fields_agree":
+        "(actual_delivery_date is not null and received_qty is null) "
+        "or (actual_delivery_date is null and received_qty is not null)",
+    "is_late_matches_dates":
+        "actual_delivery_date is not null and is_late <> (actual_delivery_date > promised_date)",
+}
+
+
+def _checks_of(table: str, kind: str, rest: list[str], categories):
+    """(name, column, failing rows or groups) of one line of ``CHECKS``."""
+    column, *more = rest or [""]
+    if kind == "not_null":
+        for name in rest:
+            yield kind, name, f"select 1 from {table} where {name} is null"
+    elif kind == "range":
+        bounds = " or ".join(f"{column} {op} {x}" for op, x in zip("<>", more))
+        yield "accepted_range", column, f"select 1 from {table} where {bounds}"
+    elif kind == "expression":
+        text = " ".join(rest)
+        yield "expression_is_true", text, f"select 1 from {table} where not ({text})"
+    elif kind == "unique":
+        yield kind, column, (f"select {column} from {table} where {column} is not null "
+                             f"group by 1 having count(*) > 1")
+    elif kind == "combination":
+        yield "unique_combination", ", ".join(rest), (
+            f"select 1 from {table} group by {', '.join(rest)} having count(*) > 1")
+    elif kind == "accepted":
+        values = categories if more == ["CATEGORIES"] else more
+        listed = ", ".join(f"'{v}'" for v in values)
+        yield "accepted_values", column, (
+            f"select distinct {column} from {table} where {column} not in ({listed})")
+    elif kind == "references":
+        parent, field = more
+        yield "relationships", column, (
+            f"select 1 from {table} x where {column} is not null and not exists "
+            f"(select 1 from {parent} y where y.{field} = x.{column})")
+    else:
+        yield kind, "", f"select 1 from {table} where {BROKEN[kind]}"
+
+
 def contract_sql(categories=PART_CATEGORIES) -> str:
-    """One row per check of the contract, counted by SQL."""
-    source = {"stg_sales": "stg_sales", **{}}
-    rows = []
-
-    def add(kind: str, table: str, column: str, count: str) -> None:
-        rows.append(
-            f"select '{kind}' as check_name, '{table}' as table_name, "
-            f"'{column}' as column_name, cast(({count}) as bigint) as failures"
-        )
-
-    business = {
-        "revenue_reconciles":
-            "abs(amount_eur - quantity * unit_price_eur * (1 - discount_pct)) > 0.01::double",
-        "delivery_fields_agree": "(actual_delivery_date is null) <> (received_qty is null)",
-        "is_late_matches_dates": "is_late <> (actual_delivery_date > promised_date)",
-    }
-    for table, c in full_contract(categories).items():
-        t = source.get(table, table)
-        for col in c.not_null:
-            add("not_null", table, col, f"select count(*) from {t} where {col} is null")
-        for col, (low, high) in c.ranges.items():
-            ok = " and ".join(
-                f"{col} {op} {bound}" for op, bound in ((">=", low), ("<=", high))
-                if bound is not None
-            )
-            add("accepted_range", table, col, f"select count(*) from {t} where not ({ok})")
-        for e in c.expressions:
-            add("expression_is_true", table, e, f"select count(*) from {t} where not ({e})")
-        for name in c.failing_when:
-            add(name, table, "", f"select count(*) from {t} where {business[name]}")
-        for col in c.unique:
-            add("unique", table, col,
-                f"select count(*) from (select {col} from {t} where {col} is not null "
-                f"group by {col} having count(*) > 1)")
-        for cols in c.unique_combination:
-            names = ", ".join(cols)
-            add("unique_combination", table, names,
-                f"select count(*) from (select {names} from {t} group by {names} "
-                f"having count(*) > 1)")
-        for col, values in c.accepted.items():
-            quoted = ", ".join(f"'{v}'" for v in values)
-            add("accepted_values", table, col,
-                f"select count(distinct {col}) from {t} where {col} not in ({quoted})")
-        for col, (parent, field) in c.references.items():
-            add("relationships", table, col,
-                f"select count(*) from {t} x where {col} is not null and not exists "
-                f"(select 1 from {parent} y where y.{field} = x.{col})")
+    """One row per check, counted by SQL."""
+    rows = [
+        f"select '{name}' as check_name, '{table}' as table_name, '{column}' as column_name, "
+        f"(select count(*) from ({failing})) as failures"
+        for table, kind, *rest in map(str.split, CHECKS.strip().splitlines())
+        for name, column, failing in _checks_of(table, kind, rest, categories)
+    ]
     body = "\nunion all ".join(rows)
     return f"select *, failures = 0 as passed from ({body})"
 
@@ -408,6 +507,10 @@ SELECTS = {
     "fct_sales": "select * from fct_sales",
     "fct_sales_incremental": "select * from merged_sales",
     "fct_sales_table_load": "select * from merged_sales",
+    "fct_sales_partial_day": """
+        select p.* from partial_sales p
+        where not exists (select 1 from partial_batch b where b.sale_id = p.sale_id)
+        union all select * from partial_batch""",
     "suppliers_scd2": f"select {_HISTORY} from suppliers_history",
     "suppliers_as_of": f"""select {_HISTORY} from suppliers_history
         where valid_from_day <= date '2026-07-18'
@@ -461,7 +564,9 @@ SELECTS = {
         group by category""",
     "dq_relationships": """
         select sale_date, count(*) as n_records from fct_sales
-        where sale_date not in (select date_day from dim_date) group by sale_date""",
+        where sale_date is not null
+          and not exists (select 1 from dim_date where date_day = sale_date)
+        group by sale_date""",
     "dq_range": "select * from typed_sales where not (discount_pct >= 0 and discount_pct <= 1)",
     "dq_unique_combo": """
         select sale_date, store_id, product_id, count(*) as n_records from typed_sales
@@ -552,6 +657,10 @@ SELECTS = {
                  as stage_gib
         from usage_log
         where usage_date >= (select max(usage_date) from usage_log) - 7""",
+    "usage_top2_of_two": f"""
+        select resource, count(*) as n, {_round('sum(amount) / 1000.0::double', 1)} as seconds
+        from usage_log where resource in ('purchase', 'view')
+        group by resource order by seconds desc nulls last, resource limit 5""",
     "usage_top5": f"""
         select resource, count(*) as n, {_round('sum(amount) / 1000.0::double', 1)} as seconds
         from usage_log group by resource order by seconds desc nulls last, resource limit 5""",

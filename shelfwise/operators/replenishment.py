@@ -100,6 +100,13 @@ def _with_running_total(inventory: DataFrame, movements: DataFrame) -> DataFrame
     return rows.withColumn("moved", running).filter("counted")
 
 
+def _period(inventory: DataFrame) -> tuple[Column, Column]:
+    """First and last snapshot date, out of one subquery."""
+    day = F.col("snapshot_date")
+    both = inventory.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    return both.getField("first"), both.getField("last")
+
+
 def _by_day() -> WindowSpec:
     return Window.partitionBy(*SERIES).orderBy("day", "counted")
 
@@ -110,8 +117,7 @@ def stock_ledger(inventory: DataFrame, sales: DataFrame, orders: DataFrame) -> D
     Movements between two snapshots count towards the later one, so a missing day does no
     harm. Movements outside the snapshot period are filtered out before anything is shuffled.
     """
-    first = inventory.agg(F.min("snapshot_date")).scalar()
-    last = inventory.agg(F.max("snapshot_date")).scalar()
+    first, last = _period(inventory)
     arrived = F.col("actual_delivery_date")
     movements = _movements(
         _movement(orders.filter(arrived.between(first, last)), arrived, F.col("received_qty")),
@@ -156,8 +162,7 @@ def in_transit(inventory: DataFrame, orders: DataFrame) -> DataFrame:
     running sum replaces a range join. Everything before the first snapshot is folded into
     that day, so a series has at most one movement per day of the snapshot period.
     """
-    first = inventory.agg(F.min("snapshot_date")).scalar()
-    last = inventory.agg(F.max("snapshot_date")).scalar()
+    first, last = _period(inventory)
     quantity = F.coalesce("received_qty", "ordered_qty")
     starts = F.date_add("order_date", 1)
     ends = F.greatest(F.col("actual_delivery_date"), starts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,11 @@ def storage_average(log: DataFrame, today: Column | None = None,
 
 
 def busiest_types(log: DataFrame, group: str = "resource", elapsed_ms: str = "amount",
-                  rows: int = BUSIEST) -> DataFrame:
-    """Groups with the most elapsed time; groups without any time come last."""
+                  rows: int = BUSIEST, only: Sequence[str] | None = None) -> DataFrame:
+    """Groups with the most elapsed time, of those in ``only`` if given; groups without any time
+    come last."""
+    if only is not None:
+        log = log.filter(F.col(group).isin(list(only)))
     return (
         log.groupBy(group)
         .agg(

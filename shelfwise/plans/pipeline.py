@@ -206,8 +206,8 @@ def check(raw: RawTables, warehouse: Warehouse, run_id: str, at: Column,
         "stg_products": models.stg_products,
         "stg_stores": models.stg_stores,
         "stg_sales": stored.drop("is_valid"),
-        "stg_inventory_snapshots": warehouse.read("marts", "fct_inventory"),
-        "stg_purchase_orders": warehouse.read("marts", "fct_purchase_orders"),
+        "stg_inventory_snapshots": models.stg_inventory_snapshots,
+        "stg_purchase_orders": models.stg_purchase_orders,
         **{t: warehouse.read(layer, t) for t, layer in STORED.items() if layer == "marts"},
     }
     results = run_checks(tables, full_contract(categories))

@@ -84,14 +84,3 @@ def many_writers(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when the input has fewer splits than cores; otherwise change nothing.
-
-    At scale a scan already has far more splits than cores and no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)

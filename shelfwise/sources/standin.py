@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import business_key
-from shelfwise.session import spread
 
 SNAPSHOT_DAYS = 7
 # Which residue of (7 * order + part) mod 400 plants which defect.
@@ -78,7 +77,7 @@ class StandIn:
         )
 
     def sales(self) -> DataFrame:
-        lines = spread(self.table("lineitem"), "l_orderkey")
+        lines = self.table("lineitem")
         order_store = (
             self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -124,10 +123,11 @@ class StandIn:
         score = 75 + (supplier * 37) % 25
         penalty = F.when(score >= 95, 0).when(score >= 85, 2).otherwise(5)
         stock = (part * 31 + store * 17 + back * 7) % 61 - penalty
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         stores = self.table("nation").agg(F.collect_set("n_nationkey")).scalar()
         return (
-            # Each part fans out to all stores and 7 days, so small inputs are spread first.
-            spread(self.table("part").select("p_partkey"), "p_partkey")
+            # Each part fans out to all stores and 7 days, so the keys are dealt out first.
+            self.table("part").select("p_partkey").repartition(tasks, "p_partkey")
             .withColumn("store_key", F.explode(stores))
             .withColumn("days_back", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOT_DAYS - 1))))
             .select(
@@ -144,7 +144,7 @@ class StandIn:
     def purchase_orders(self) -> DataFrame:
         key = F.col("o_orderkey")
         joined = (
-            spread(self.table("orders"), "o_custkey")
+            self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .withColumn("supplier", key % self.row_count("supplier"))
             .withColumn("product", key % self.row_count("part"))

@@ -42,10 +42,3 @@ def test_many_writers_restores_the_setting(spark):
         assert spark.conf.get(name) == "false"
         raise ValueError
     assert spark.conf.get(name) == before
-
-
-def test_spread_only_adds_a_shuffle_to_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, cores * 2)
-    assert session.spread(wide, "id") is wide
-    assert session.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == cores
