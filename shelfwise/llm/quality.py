@@ -151,6 +151,16 @@ class Discriminant:
 
         return score
 
+    def text_udf(self):
+        """The score of a text in one Python pass: statistics and densities in one worker."""
+        @F.pandas_udf(DoubleType())
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                x = np.array([statistics_of(text) for text in batch])
+                yield pd.Series(self.score(x.reshape(len(batch), len(STATISTICS))))
+
+        return score
+
 
 def _sums(rows: DataFrame, vector: str, label: str) -> dict[int, np.ndarray]:
     """Per class the sum of (1, x)(1, x)^T: a square of known size from each task, added up."""
@@ -251,5 +261,5 @@ def keep_good(documents: DataFrame, learn_from: DataFrame, labels: DataFrame) ->
     if labels.count() <= BROADCAST_ROWS:
         learn_from = learn_from.join(F.broadcast(ids), "doc_id", "left_semi")
     known = written(described(learn_from), "quality_labelled")
-    score = fit(known, labels).udf()(statistics(F.col("text")))
-    return documents.filter(score >= 0.5)
+    score = fit(known, labels).text_udf()
+    return documents.filter(score(F.col("text")) >= 0.5)
