@@ -14,8 +14,10 @@ text on all pages, and link lists, are not either. A page's text is what lies in
 places that no wrapper part describes are judged by the same rules without the host's evidence.
 
 Defined results: null and empty pages have empty text; null URLs form a host of their own.
-Broken markup is read as far as it goes: an unclosed script or comment runs to the end of the
-page. Repeated rows are extracted each. Empty tables give empty results.
+Broken markup is read as far as it goes: an unclosed comment or raw element (script, style, title
+and the like) runs to the end of the page; a head ends before what cannot be in one; a button,
+select, svg, canvas or template without an end tag ends at the next block or with its parent.
+Text of math and object elements is text of the page. Repeated rows are extracted each. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -48,7 +50,11 @@ BLOCKS = frozenset(
     "address details summary menu dialog hgroup".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|svg|iframe|select|title|head|button|object|math|canvas"
+#: Their content is text up to the end tag, whatever it holds.
+RAW = frozenset("script style noscript textarea iframe title xmp noembed noframes".split())
+#: Their content is markup that a reader does not see as text of the page.
+HIDDEN = frozenset("head button select svg canvas template annotation annotation-xml".split())
+FOREIGN = frozenset(["svg", "math"])
 NOT_ARTICLE = frozenset("nav header footer aside form fieldset menu dialog".split())
 CLOSES_P = BLOCKS
 #: Words of class, id and role values that name parts beside the article.
@@ -62,42 +68,86 @@ BESIDE = re.compile(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*(?:>|$)",
     re.S | re.I,
 )
+_RAW_END = {name: re.compile(rf"</{name}(?:\s[^>]*|/[^>]*)?>", re.I) for name in RAW}
 _LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
+#: What a head holds; anything else ends it.
+_OF_HEAD = frozenset("head base basefont bgsound link meta template".split())
 
 
-def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
-    """("open", name, label), ("close", name, ""), ("text", text, ""), ("break", "", "")."""
-    page, at = page or "", 0
-    for found in _TOKEN.finditer(page):
+def _events(page: str) -> list[list]:
+    """[kind, name or text, label] of everything in a page, kinds as in ``tokens``."""
+    out, at, foreign = [], 0, 0
+    while found := _TOKEN.search(page, at):
         if found.start() > at:
-            yield "text", page[at : found.start()], ""
+            out.append(["text", page[at : found.start()], ""])
         at = found.end()
-        name = (found["name"] or "").lower()
+        name, close = (found["name"] or "").lower(), found["close"]
+        itself = bool(foreign or name in FOREIGN) and (found["rest"] or "").endswith("/")
+        if name in FOREIGN and not itself:
+            foreign = max(0, foreign + (-1 if close else 1))
         if name in BLOCKS:
-            if found["close"]:
-                yield "close", name, ""
-            else:
-                values = _LABEL.findall(found["rest"])
-                yield "open", name, " ".join(a or b or c for a, b, c in values).strip()
+            foreign = foreign if close else 0
+            values = [] if close else _LABEL.findall(found["rest"])
+            label = " ".join(a or b or c for a, b, c in values).strip()
+            out.append(["close" if close else "open", name, label])
+        elif name in HIDDEN and not itself:
+            out.append(["show" if close else "hide", name, ""])
+        elif name in RAW and not close and not itself:
+            out.append(["raw", name, ""])
+            end = _RAW_END[name].search(page, at)
+            at = end.end() if end else len(page)
         elif name in VOID:
-            yield "break", name, ""
+            out.append(["break", name, ""])
+        elif name:
+            out.append(["inline", name, ""])
     if at < len(page):
-        yield "text", page[at:], ""
+        out.append(["text", page[at:], ""])
+    return out
+
+
+def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
+    """("open", name, label), ("close", name, ""), ("text", text, ""), ("break", name, ""),
+    ("hide", name, "closed" or ""), ("show", name, ""); raw elements and comments are left out.
+
+    A hidden element is "closed" where an end tag of its own follows. A head ends before whatever
+    cannot be in one.
+    """
+    events = _events(page or "")
+    open_at: dict[str, list[int]] = {}
+    for k, (kind, name, _) in enumerate(events):
+        if kind == "hide":
+            open_at.setdefault(name, []).append(k)
+        elif kind == "show" and open_at.get(name):
+            events[open_at[name].pop()][2] = "closed"
+    in_head, templates = False, 0
+    for kind, name, label in events:
+        if in_head and not templates and not (
+            kind == "raw" or kind == "text" and not name.strip() or name in _OF_HEAD
+        ):
+            in_head = False
+            yield "show", "head", ""
+        if name == "head" and kind in ("hide", "show"):
+            in_head = kind == "hide"
+        if in_head and name == "template":
+            templates = max(0, templates + (1 if label else -1 if kind == "show" else 0))
+        if kind not in ("raw", "inline"):
+            yield kind, name, label
 
 
 def placed(page: str | None) -> Iterator[tuple[str, object]]:
     """("tag", tag), ("text", (path, text)): tags opened and closed as a browser would.
 
-    A path is the open blocks with their labels, from the outermost on.
+    A path is the open blocks with their labels, from the outermost on. Nothing in a hidden
+    element is given; one without an end tag ends at the next block, or with its parent.
     """
     stack: list[str] = []
     held: list[str] = []
+    hidden: list[tuple[int, str, str]] = []  # (place in the stack, name, "closed" or "")
 
     def text() -> Iterator[tuple[str, object]]:
         joined = " ".join(unescape("".join(held)).split())
@@ -105,31 +155,51 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
         if joined:
             yield "text", (tuple(stack), joined)
 
+    def down_to(depth: int) -> Iterator[tuple[str, object]]:
+        """Close what is open from ``depth`` on, and what is hidden in it."""
+        while len(stack) > depth:
+            name = stack.pop().split(".", 1)[0]
+            if not hidden or hidden[0][0] > len(stack):
+                yield "tag", f"/{name}"
+            while hidden and hidden[-1][0] > len(stack):
+                hidden.pop()
+
     for kind, name, label in tokens(page):
         if kind == "text":
-            held.append(name)
+            if not hidden:
+                held.append(name)
             continue
         if kind == "break":
             held.append(" ")
             continue
+        if kind == "hide":
+            hidden.append((len(stack), name, label))
+            continue
+        if kind == "show":
+            depth = next((k for k in range(len(hidden) - 1, -1, -1) if hidden[k][1] == name), None)
+            if depth is not None:
+                yield from down_to(hidden[depth][0])
+                del hidden[depth:]
+            continue
         yield from text()
         if kind == "open":
+            while hidden and (not hidden[-1][2] or name == "body"):
+                yield from down_to(hidden[-1][0])
+                hidden.pop()
             if stack and stack[-1] == "p" and name in CLOSES_P:
-                stack.pop()
-                yield "tag", "/p"
+                yield from down_to(len(stack) - 1)
             own = f"{name}.{_DIGITS.sub('0', label)}" if label else name
             stack.append(own)
-            yield "tag", own
+            if not hidden:
+                yield "tag", own
         else:
             depth = next(
                 (k for k in range(len(stack) - 1, -1, -1) if stack[k].split(".", 1)[0] == name), None
             )
             if depth is not None:
-                while len(stack) > depth:
-                    yield "tag", f"/{stack.pop().split('.', 1)[0]}"
+                yield from down_to(depth)
     yield from text()
-    while stack:
-        yield "tag", f"/{stack.pop().split('.', 1)[0]}"
+    yield from down_to(0)
 
 
 # --- wrappers -------------------------------------------------------------------------

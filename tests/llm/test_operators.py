@@ -260,6 +260,21 @@ def test_html_extraction(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><article><p>whole text</p></article>", "whole text"),
+    ("<head><title>T</title><meta x><template><p>no</p></template><p>yes", "yes"),
+    ("<article><svg/><p>whole text</p></article>", "whole text"),
+    ("<article><svg><title/><text>no</text></g><p>whole text</p></article>", "whole text"),
+    ("<article><button>no<p>whole text</p></article>", "whole text"),
+    ("<article><div><select><option>no</div><p>whole text</p></article>", "whole text"),
+    ("<article><button><div>no</div></button><canvas><p>no</p></canvas><p>yes", "yes"),
+    ("<article><p>a <math><mi>x</mi></math> <object data=q>c</object></article>", "a x c"),
+    ("<article><p>a<svg><text>no</text></svg>b <textarea><p>no", "ab"),
+])
+def test_html_elements_without_an_end(page, text):
+    assert html.text_of(page, {}) == text
+
+
 def test_wrappers_are_union_free_expressions():
     pages = ["<ul><li>a</li></ul><p>x</p>", "<ul><li>b</li><li>c</li></ul><p>x</p><h2>z</h2>"]
     whole = html.align(html.parts_of(pages[0]), html.parts_of(pages[1]))
