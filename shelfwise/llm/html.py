@@ -7,13 +7,15 @@ group where they are another instance of it. Two wrappers are aligned in the sam
 infer partial wrappers of the hosts they meet, and these are merged, ``FAN_IN`` at a time, until
 a host has one; a host with very many pages is no burden to one task.
 
-The wrapper tells the article's slots from the template's: slots below navigation, headers,
-footers, sidebars, notices, adverts, forms and reader comments are not article text; where the
-wrapper has ``article`` or ``main`` parts, only slots in them are; elsewhere slots with the same
-text on all pages, and link lists, are not either. A page's text is what lies in article slots;
-places that no wrapper part describes are judged by the same rules without the host's evidence.
-
-Defined results: null and empty pages have empty text; null URLs form a host of their own.
+Slots below navigation, headers, footers, sidebars, notices, adverts, forms and reader comments are
+not article text; on a page with ``article`` or ``main`` parts only slots in them are. On a page
+without, slots that the wrapper shows to have the same text on pages of different contents, and
+link lists, are not either. Contents differ where the pages' own texts do, judged without the
+wrapper; copies of a page are one content and make no text template. Places that no wrapper part
+describes are judged by the same rules without the host's evidence.
+
+Defined results: null and empty pages have empty text; pages whose URL is null or names no host
+are judged each alone.
 Broken markup is read as far as it goes: an unclosed comment or raw element (script, style, title
 and the like) runs to the end of the page; a head ends before what cannot be in one; a button,
 select, svg, canvas or template without an end tag ends at the next block or with its parent.
@@ -26,9 +28,11 @@ import difflib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ FAN_IN = 64
 BROADCAST_HOSTS = 200_000
 #: A wrapper grows to at most so many parts; places beyond are judged without its evidence.
 MAX_PARTS = 2_000
+#: A slot is template where it is the same on so many pages of different contents.
+PAGES = 2
 #: The longest repeated group, in parts, that folding looks for.
 LONGEST_GROUP = 16
 
@@ -203,25 +209,27 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
 
 
 # --- wrappers -------------------------------------------------------------------------
-# A part is a list: ["tag", tag], ["text", constant or None, pages, characters],
-# ["opt", parts] or ["rep", parts].
+# A part is a list: ["tag", tag], ["text", constant or None, contents, place], ["opt", parts] or
+# ["rep", parts]. The contents are digests of pages' own texts, the ``PAGES`` least ones, so that
+# copies of a page count as one; the place is a hash of the slot's path.
 
 
 def parts_of(page: str | None) -> list:
-    out = []
-    for kind, value in placed(page):
-        if kind == "tag":
-            out.append(["tag", value])
-        else:
-            out.append(["text", value[1], 1, len(value[1])])
-    return fold(out)
+    pieces = [*placed(page)]
+    texts = [value for kind, value in pieces if kind == "text"]
+    own = "\0".join(text for (_, text), keep in zip(texts, own_rules(texts), strict=True) if keep)
+    contents = [xxhash.xxh32_intdigest(own.encode("utf-8", "replace"))]
+    return fold([
+        ["tag", value] if kind == "tag" else ["text", value[1], contents, place_of(value[0])[0]]
+        for kind, value in pieces
+    ])
 
 
 def key(part: list):
     if part[0] == "tag":
         return part[1]
     if part[0] == "text":
-        return "#"
+        return f"#{part[3]}"
     return (part[0], *map(key, part[1]))
 
 
@@ -230,7 +238,8 @@ def merged(a: list, b: list) -> list:
     if a[0] == "tag":
         return a
     if a[0] == "text":
-        return ["text", a[1] if a[1] == b[1] else None, a[2] + b[2], a[3] + b[3]]
+        contents = a[2] if a[2] == b[2] else sorted({*a[2], *b[2]})[:PAGES]
+        return ["text", a[1] if a[1] == b[1] else None, contents, a[3]]
     return [a[0], [merged(x, y) for x, y in zip(a[1], b[1], strict=True)]]
 
 
@@ -247,7 +256,7 @@ def fold(parts: list) -> list:
                 times = 1
                 while len(own) == size and keys[k + times * size : k + (times + 1) * size] == own:
                     times += 1
-                balanced = size > 1 or own != [] and own[0] != "#" and not isinstance(own[0], str)
+                balanced = size > 1 or own != [] and not isinstance(own[0], str)
                 if times > 1 and balanced:
                     body = parts[k : k + size]
                     for t in range(1, times):
@@ -267,9 +276,9 @@ def fold(parts: list) -> list:
 
 def _absorbed(group: list, segment: list) -> list | None:
     """The repeated group with ``segment`` as further instances of it, if it is that."""
-    body, size = group[1], len(group[1])
     if group[0] != "rep":
         return None
+    body, size = group[1], len(group[1])
     if [key(p) for p in segment] == [key(group)]:
         return merged(group, segment[0])
     if not segment or len(segment) % size:
@@ -330,19 +339,13 @@ def expression(parts: list) -> str:
     return "".join(map(one, parts))
 
 
-def slots(parts: list, stack: list[str] | None = None) -> Iterator[tuple[tuple, list]]:
-    """(path, text part) of every text slot."""
-    stack = [] if stack is None else stack
+def slots(parts: list) -> Iterator[list]:
+    """Every text slot."""
     for part in parts:
-        if part[0] == "tag":
-            if not part[1].startswith("/"):
-                stack.append(part[1])
-            elif stack:
-                stack.pop()
-        elif part[0] == "text":
-            yield tuple(stack), part
-        else:
-            yield from slots(part[1], stack if part[0] == "rep" else list(stack))
+        if part[0] == "text":
+            yield part
+        elif part[0] != "tag":
+            yield from slots(part[1])
 
 
 def beside_article(path: tuple[str, ...]) -> bool:
@@ -367,30 +370,37 @@ def in_article(path: tuple[str, ...]) -> bool:
     return any(e.split(".", 1)[0] in ("article", "main") for e in path)
 
 
-def decisions(parts: list) -> dict[tuple, bool]:
-    """For each path of the wrapper's slots whether it is article text."""
-    found: dict[tuple, list] = {}
-    for path, part in slots(parts):
-        own = found.setdefault(path, [True, 0, 0])
-        own[0] = own[0] and part[1] is not None and part[2] > 1  # the same on several pages
-        own[1] += part[2]
-        own[2] += part[3]
-    eligible = {p for p in found if not beside_article(p)}
-    if any(in_article(p) for p in eligible):
-        return {p: p in eligible and in_article(p) for p in found}
-    return {p: p in eligible and not found[p][0] for p in found}
+@lru_cache(100_000)
+def place_of(path: tuple[str, ...]) -> tuple[int, bool, bool]:
+    """A hash of a path, whether it is beside the article, whether it is in one."""
+    name = xxhash.xxh3_64_intdigest("\0".join(path).encode("utf-8", "replace"))
+    return name, beside_article(path), in_article(path)
+
+
+def own_rules(texts: list[tuple[tuple, str]]) -> list[bool]:
+    """For each (path, text) of a page whether it is article text as far as the page tells."""
+    places = [place_of(path) for path, _ in texts]
+    article = any(inside and not beside for _, beside, inside in places)
+    return [not beside and (inside or not article) for _, beside, inside in places]
+
+
+def decisions(parts: list) -> dict[int, int]:
+    """For each place of the wrapper's slots over how many different contents its slots are
+    constant, counted up to ``PAGES``; 0 where a slot varies."""
+    found: dict[int, int] = {}
+    for _, constant, contents, place in slots(parts):
+        pages = 0 if constant is None else len(contents)
+        found[place] = min(pages, found.get(place, pages))
+    return found
 
 
-def text_of(page: str | None, known: dict[tuple, bool]) -> str:
+def text_of(page: str | None, known: dict[int, int]) -> str:
     """The article of a page, given what is known of its host's slots."""
-    pieces = [value for kind, value in placed(page) if kind == "text"]
-    own_article = any(in_article(path) and not beside_article(path) for path, _ in pieces)
+    texts = [value for kind, value in placed(page) if kind == "text"]
     out = []
-    for path, text in pieces:
-        keep = known.get(path)
-        if keep is None:
-            keep = not beside_article(path) and (in_article(path) or not own_article)
-        if keep:
+    for (path, text), keep in zip(texts, own_rules(texts), strict=True):
+        place, _, inside = place_of(path)
+        if keep and (inside or known.get(place, 0) < PAGES):
             out.append(text)
     return " ".join(out)
 
@@ -451,7 +461,7 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     hosts = written(
-        wrappers(located).mapInArrow(decide, "host string, slots string"), "wrapper_slots"
+        wrappers(located.filter("host <> ''")).mapInArrow(decide, "host string, slots string"), "wrapper_slots"
     )
     few = hosts.count() <= BROADCAST_HOSTS
     joined = located.join(F.broadcast(hosts) if few else hosts, "host", "left")
@@ -466,7 +476,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 if found not in known:
                     if len(known) > 1000:
                         known = {None: {}}
-                    known[found] = {tuple(path): keep for path, keep in json.loads(found)}
+                    known[found] = dict(json.loads(found))
                 texts.append(text_of(page, known[found]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),

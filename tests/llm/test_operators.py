@@ -275,6 +275,32 @@ def test_html_elements_without_an_end(page, text):
     assert html.text_of(page, {}) == text
 
 
+PLAIN = "<body><div id=top>Shop</div><div class=content><h1>Title {n}</h1><p>Text {n}</p></div></body>"
+
+
+def texts_of(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+
+
+def test_html_pages_of_one_host_are_judged_by_their_own_template(spark):
+    rows = [(k, f"http://h.org/{k}", PAGE.format(n=k)) for k in range(4)]
+    rows += [(k, f"http://h.org/{k}", PLAIN.format(n=k)) for k in range(4, 8)]
+    rows += [(8, None, PAGE.format(n=8)), (9, "no scheme", PLAIN.format(n=9)), (10, None, PLAIN.format(n=9))]
+    texts = texts_of(spark, rows)
+    assert all(texts[k] == f"Title {k} A & B bold line {k} Second" for k in (0, 1, 2, 3, 8))
+    assert all(texts[k] == f"Title {k} Text {k}" for k in range(4, 8))
+    assert texts[9] == texts[10] == "Shop Title 9 Text 9"
+
+
+def test_html_copies_of_a_page_are_no_template(spark):
+    rows = [(k, "http://copies.org/", PLAIN.format(n=1)) for k in range(5)]
+    rows += [(k, "http://varied.org/", PLAIN.format(n=k % 2)) for k in range(10, 16)]
+    texts = texts_of(spark, rows)
+    assert all(texts[k] == "Shop Title 1 Text 1" for k in range(5))
+    assert all(texts[k] == f"Title {k % 2} Text {k % 2}" for k in range(10, 16))
+
+
 def test_wrappers_are_union_free_expressions():
     pages = ["<ul><li>a</li></ul><p>x</p>", "<ul><li>b</li><li>c</li></ul><p>x</p><h2>z</h2>"]
     whole = html.align(html.parts_of(pages[0]), html.parts_of(pages[1]))
