@@ -11,8 +11,8 @@ Slots below navigation, headers, footers, sidebars, notices, adverts, forms and
 not article text; on a page with ``article`` or ``main`` parts only slots in them are. On a page
 without, slots that the wrapper shows to have the same text on pages of different contents, and
 link lists, are not either. Contents differ where the pages' own texts do, judged without the
-wrapper; copies of a page are one content and make no text template. Places that no wrapper part
-describes are judged by the same rules without the host's evidence.
+wrapper; copies of a page are one content and make no text template. A wrapper is bounded; of slots beyond its
+bound the evidence is kept place by place, added up on Spark.
 
 Defined results: null and empty pages have empty text; pages whose URL is null or names no host
 are judged each alone.
@@ -42,7 +42,8 @@ from shelfwise.session import written
 FAN_IN = 64
 #: Wrappers of at most so many hosts are broadcast.
 BROADCAST_HOSTS = 200_000
-#: A wrapper grows to at most so many parts; places beyond are judged without its evidence.
+#: A wrapper grows by alignment to at most so many parts; of slots beyond the evidence is kept by
+#: place, so that no text counts as template because another of its place was left out.
 MAX_PARTS = 2_000
 #: A slot is template where it is the same on so many pages of different contents.
 PAGES = 2
@@ -291,8 +292,19 @@ def _absorbed(group: list, segment: list) -> list | None:
     return ["rep", body]
 
 
-def align(a: list, b: list) -> list:
-    """The wrapper of everything that wrapper ``a`` or wrapper ``b`` describes."""
+def noted(beyond: dict[int, list], part: list) -> None:
+    """Add a slot to the evidence by place."""
+    place = part[3]
+    beyond[place] = merged(beyond[place], part) if place in beyond else part
+
+
+def align(a: list, b: list, beyond: dict[int, list] | None = None, most: int = MAX_PARTS) -> list:
+    """The wrapper of everything that wrapper ``a`` or wrapper ``b`` describes.
+
+    What ``a`` holds always stays. With ``beyond``, parts of ``b`` that would let the wrapper grow
+    over ``most`` go there as evidence by place.
+    """
+    room = None if beyond is None else most - len(a)
     keys_a, keys_b = [key(p) for p in a], [key(p) for p in b]
     if keys_a == keys_b:
         return [merged(x, y) for x, y in zip(a, b, strict=True)]
@@ -320,10 +332,14 @@ def align(a: list, b: list) -> list:
                 ]:
                     out[-size:] = [["rep", [merged(x, y) for x, y in zip(
                         out[-size:], segment, strict=True)]]]
-                elif size == 1 and segment[0][0] == "opt":
-                    out.append(segment[0])
-                elif len(out) < MAX_PARTS:
-                    out.append(["opt", segment])
+                elif segment is right and room is not None and room <= 0:
+                    for part in slots(segment):
+                        noted(beyond, part)
+                else:
+                    if segment is right and room is not None:
+                        room -= 1
+                    single = size == 1 and segment[0][0] == "opt"
+                    out.append(segment[0] if single else ["opt", segment])
     return out
 
 
@@ -370,11 +386,14 @@ def in_article(path: tuple[str, ...]) -> bool:
     return any(e.split(".", 1)[0] in ("article", "main") for e in path)
 
 
+def _hashed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 1
+
+
 @lru_cache(100_000)
 def place_of(path: tuple[str, ...]) -> tuple[int, bool, bool]:
     """A hash of a path, whether it is beside the article, whether it is in one."""
-    name = xxhash.xxh3_64_intdigest("\0".join(path).encode("utf-8", "replace"))
-    return name, beside_article(path), in_article(path)
+    return _hashed("\0".join(path)), beside_article(path), in_article(path)
 
 
 def own_rules(texts: list[tuple[tuple, str]]) -> list[bool]:
@@ -385,8 +404,8 @@ def own_rules(texts: list[tuple[tuple, str]]) -> list[bool]:
 
 
 def decisions(parts: list) -> dict[int, int]:
-    """For each place of the wrapper's slots over how many different contents its slots are
-    constant, counted up to ``PAGES``; 0 where a slot varies."""
+    """For each place of the slots over how many different contents its slots are constant,
+    counted up to ``PAGES``; 0 where a slot varies."""
     found: dict[int, int] = {}
     for _, constant, contents, place in slots(parts):
         pages = 0 if constant is None else len(contents)
@@ -408,41 +427,56 @@ def text_of(page: str | None, known: dict[int, int]) -> str:
 # --- on Spark -------------------------------------------------------------------------
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON) for every host of ``pages`` (host, html)."""
+#: Rows of two kinds: a host's wrapper as JSON, and evidence of one place beyond it.
+_ROWS = "host string, wrapper string, place long, constant long, contents array<long>"
+
+
+def _rows(found: dict[str, tuple[list, dict]]) -> dict[str, pa.Array]:
+    beyond = [(host, part) for host, (_, more) in found.items() for part in more.values()]
+    constants = [None if part[1] is None else _hashed(part[1]) for _, part in beyond]
+    gap, none = [None] * len(found), [None] * len(beyond)
+    return {
+        "host": pa.array([*found, *(host for host, _ in beyond)], pa.string()),
+        "wrapper": pa.array([*(json.dumps(w) for w, _ in found.values()), *none], pa.string()),
+        "place": pa.array([*gap, *(part[3] for _, part in beyond)], pa.int64()),
+        "constant": pa.array([*gap, *constants], pa.int64()),
+        "contents": pa.array([*gap, *(part[2] for _, part in beyond)], pa.list_(pa.int64())),
+    }
+
+
+def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, wrapper as JSON) for every host of ``pages`` (host, html), and the evidence beyond
+    the wrappers: (host, place, constant, contents)."""
+    bound = MAX_PARTS
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, tuple[list, dict]] = {}
         for batch in batches:
             for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = parts_of(page)
-                known[host] = align(known[host], parts) if host in known else parts
-        yield pa.RecordBatch.from_pydict({
-            "host": pa.array([*known], pa.string()),
-            "wrapper": pa.array([json.dumps(w) for w in known.values()], pa.string()),
-        })
+                whole, beyond = known.get(host, (parts, {}))
+                known[host] = (align(whole, parts, beyond, bound) if host in known else parts), beyond
+        yield pa.RecordBatch.from_pydict(_rows(known))
 
     def merge(table: pa.Table) -> pa.Table:
-        whole = None
+        whole, beyond = None, {}
         for own in sorted(table.column("wrapper").to_pylist()):
             parts = json.loads(own)
-            whole = parts if whole is None else align(whole, parts)
-        return pa.table({
-            "host": pa.array([table.column("host")[0].as_py()], pa.string()),
-            "wrapper": pa.array([json.dumps(whole)], pa.string()),
-        })
-
-    partial = written(
-        pages.select("host", "html").mapInArrow(infer, "host string, wrapper string"), "wrappers"
-    )
+            whole = parts if whole is None else align(whole, parts, beyond, bound)
+        return pa.table(_rows({table.column("host")[0].as_py(): (whole, beyond)}))
+
+    found = written(pages.select("host", "html").mapInArrow(infer, _ROWS), "wrappers")
+    evidence = None
     while True:
+        more = found.filter("wrapper is null").drop("wrapper")
+        evidence = more if evidence is None else evidence.union(more)
+        partial = found.filter("wrapper is not null").select("host", "wrapper")
         most = partial.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= 1:
+            return partial, evidence
         groups = -(-most // FAN_IN)
-        salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(max(1, groups))))
-        partial = salted.groupBy("host", "salt").applyInArrow(merge, "host string, wrapper string")
-        if groups <= 1:
-            return partial
-        partial = written(partial, "wrappers")
+        salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(groups)))
+        found = written(salted.groupBy("host", "salt").applyInArrow(merge, _ROWS), "wrappers")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -454,14 +488,25 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[*decisions(json.loads(w)).items()] for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([json.dumps(f) for f in found], pa.string())],
-                ["host", "slots"],
-            )
-
+            for host, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = decisions(json.loads(wrapper))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([host] * len(found), pa.string()), pa.array([*found], pa.int64()),
+                     pa.array([*found.values()], pa.int64())], ["host", "place", "pages"],
+                )
+
+    inferred, evidence = wrappers(located.filter("host <> ''"))
+    same = (F.count("constant") == F.count("*")) & (F.min("constant") == F.max("constant"))
+    contents = F.array_distinct(F.flatten(F.collect_list("contents")))
+    beyond = evidence.groupBy("host", "place").agg(
+        F.when(same, F.least(F.size(contents), F.lit(PAGES))).otherwise(0).cast("long").alias("pages")
+    )
+    constant = inferred.mapInArrow(decide, "host string, place long, pages long").union(beyond)
+    constant = constant.groupBy("host", "place").agg(F.min("pages").alias("pages"))
     hosts = written(
-        wrappers(located.filter("host <> ''")).mapInArrow(decide, "host string, slots string"), "wrapper_slots"
+        constant.filter(F.col("pages") > 1).groupBy("host").agg(
+            F.to_json(F.collect_list(F.array("place", "pages"))).alias("slots")
+        ), "wrapper_slots",
     )
     few = hosts.count() <= BROADCAST_HOSTS
     joined = located.join(F.broadcast(hosts) if few else hosts, "host", "left")

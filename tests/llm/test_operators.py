@@ -301,6 +301,29 @@ def test_html_copies_of_a_page_are_no_template(spark):
     assert all(texts[k] == f"Title {k % 2} Text {k % 2}" for k in range(10, 16))
 
 
+def test_slots_beyond_a_bounded_wrapper_keep_their_evidence(spark, monkeypatch):
+    """A host of many templates: the text of a place is not template where a lost slot varies."""
+    monkeypatch.setattr(html, "MAX_PARTS", 4)
+    pages = [
+        f"<div><p>{'a' if k < 4 else k}</p></div>" + "".join(f"<h{j}>t{j}</h{j}>" for j in range(1, k % 6))
+        + f"<div><p>b{k}</p></div><pre>same</pre>" for k in range(12)
+    ]
+    for order in (pages, pages[::-1], pages[5:] + pages[:5]):
+        whole, beyond = html.parts_of(order[0]), {}
+        for page in order[1:]:
+            whole = html.align(whole, html.parts_of(page), beyond, 4)
+        known = html.decisions([*whole, *beyond.values()])
+        assert all(html.place_of(path)[0] in known for page in pages
+                   for kind, (path, *_) in html.placed(page) if kind == "text")
+        assert all(f"b{k}" in html.text_of(page, known).split() for k, page in enumerate(pages))
+        assert beyond and len(whole) <= max(4, len(html.parts_of(order[0])))
+    evidence = html.wrappers(spark.createDataFrame(
+        [("h.org", page) for page in pages], "host string, html string").repartition(3))[1]
+    assert evidence.count() > 0
+    texts = texts_of(spark, [(k, "http://h.org/", page) for k, page in enumerate(pages)])
+    assert all(f"b{k}" in texts[k].split() for k in texts)
+
+
 def test_wrappers_are_union_free_expressions():
     pages = ["<ul><li>a</li></ul><p>x</p>", "<ul><li>b</li><li>c</li></ul><p>x</p><h2>z</h2>"]
     whole = html.align(html.parts_of(pages[0]), html.parts_of(pages[1]))
