@@ -8,10 +8,11 @@ infer partial wrappers of the hosts they meet, and these are merged, ``FAN_IN``
 a host has one; a host with very many pages is no burden to one task.
 
 Slots below navigation, headers, footers, sidebars, notices, adverts, forms and reader comments are
-not article text; on a page with ``article`` or ``main`` parts only slots in them are. On a page
-without, slots that the wrapper shows to have the same text on pages of different contents, and
-link lists, are not either. Contents differ where the pages' own texts do, judged without the
-wrapper; copies of a page are one content and make no text template. A wrapper is bounded; of slots beyond its
+not article text, nor are lists whose text on a page is mostly links; on a page with ``article`` or
+``main`` parts only slots in them are. Places whose slots the wrapper shows to have the same text on
+``PAGES_OUTSIDE`` pages of different contents, in an article ``PAGES``, are not either. Contents
+differ where the pages' own texts do, judged without the wrapper; copies of a page are one content
+and make no text template. A wrapper is bounded; of slots beyond its
 bound the evidence is kept place by place, added up on Spark.
 
 Defined results: null and empty pages have empty text; pages whose URL is null or names no host
@@ -45,8 +46,10 @@ BROADCAST_HOSTS = 200_000
 #: A wrapper grows by alignment to at most so many parts; of slots beyond the evidence is kept by
 #: place, so that no text counts as template because another of its place was left out.
 MAX_PARTS = 2_000
-#: A slot is template where it is the same on so many pages of different contents.
-PAGES = 2
+#: A slot is template where it is the same on so many pages of different contents; outside
+#: articles fewer are enough.
+PAGES = 3
+PAGES_OUTSIDE = 2
 #: The longest repeated group, in parts, that folding looks for.
 LONGEST_GROUP = 16
 
@@ -111,7 +114,7 @@ def _events(page: str) -> list[list]:
         elif name in VOID:
             out.append(["break", name, ""])
         elif name:
-            out.append(["inline", name, ""])
+            out.append(["link" if name == "a" else "inline", name, close or ""])
     if at < len(page):
         out.append(["text", page[at:], ""])
     return out
@@ -119,7 +122,7 @@ def _events(page: str) -> list[list]:
 
 def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
     """("open", name, label), ("close", name, ""), ("text", text, ""), ("break", name, ""),
-    ("hide", name, "closed" or ""), ("show", name, ""); raw elements and comments are left out.
+    ("hide", name, "closed" or ""), ("show", name, ""), ("link", "a", "" or "/"); raw elements and comments are left out.
 
     A hidden element is "closed" where an end tag of its own follows. A head ends before whatever
     cannot be in one.
@@ -147,20 +150,28 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
 
 
 def placed(page: str | None) -> Iterator[tuple[str, object]]:
-    """("tag", tag), ("text", (path, text)): tags opened and closed as a browser would.
+    """("tag", tag), ("text", (path, text, linked, list)): tags opened and closed as a browser would.
 
-    A path is the open blocks with their labels, from the outermost on. Nothing in a hidden
+    A path is the open blocks with their labels, from the outermost on; ``linked`` counts the
+    text's characters in links, which end with their parent at the latest. ``list``
+    numbers the innermost list. Nothing in a hidden
     element is given; one without an end tag ends at the next block, or with its parent.
     """
     stack: list[str] = []
     held: list[str] = []
+    linked: list[str] = []
+    link: int | None = None  # the place in the stack
+    lists: list[tuple[int, int]] = [(0, 0)]  # (place in the stack, number)
+    n_lists = 0
     hidden: list[tuple[int, str, str]] = []  # (place in the stack, name, "closed" or "")
 
     def text() -> Iterator[tuple[str, object]]:
         joined = " ".join(unescape("".join(held)).split())
+        within = len("".join(unescape("".join(linked)).split()))
         held.clear()
+        linked.clear()
         if joined:
-            yield "text", (tuple(stack), joined)
+            yield "text", (tuple(stack), joined, within, lists[-1][1])
 
     def down_to(depth: int) -> Iterator[tuple[str, object]]:
         """Close what is open from ``depth`` on, and what is hidden in it."""
@@ -170,11 +181,18 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
                 yield "tag", f"/{name}"
             while hidden and hidden[-1][0] > len(stack):
                 hidden.pop()
+            while lists[-1][0] > len(stack):
+                lists.pop()
 
     for kind, name, label in tokens(page):
         if kind == "text":
             if not hidden:
                 held.append(name)
+                if link is not None:
+                    linked.append(name)
+            continue
+        if kind == "link":
+            link = None if label or hidden else len(stack)
             continue
         if kind == "break":
             held.append(" ")
@@ -197,6 +215,9 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
                 yield from down_to(len(stack) - 1)
             own = f"{name}.{_DIGITS.sub('0', label)}" if label else name
             stack.append(own)
+            if name in ("ul", "ol", "dl", "menu"):
+                n_lists += 1
+                lists.append((len(stack), n_lists))
             if not hidden:
                 yield "tag", own
         else:
@@ -205,6 +226,8 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
             )
             if depth is not None:
                 yield from down_to(depth)
+        if link is not None and len(stack) < link:
+            link = None
     yield from text()
     yield from down_to(0)
 
@@ -218,7 +241,7 @@ def placed(page: str | None) -> Iterator[tuple[str, object]]:
 def parts_of(page: str | None) -> list:
     pieces = [*placed(page)]
     texts = [value for kind, value in pieces if kind == "text"]
-    own = "\0".join(text for (_, text), keep in zip(texts, own_rules(texts), strict=True) if keep)
+    own = "\0".join(text for (_, text, *_), keep in zip(texts, own_rules(texts), strict=True) if keep)
     contents = [xxhash.xxh32_intdigest(own.encode("utf-8", "replace"))]
     return fold([
         ["tag", value] if kind == "tag" else ["text", value[1], contents, place_of(value[0])[0]]
@@ -391,16 +414,26 @@ def _hashed(text: str) -> int:
 
 
 @lru_cache(100_000)
-def place_of(path: tuple[str, ...]) -> tuple[int, bool, bool]:
-    """A hash of a path, whether it is beside the article, whether it is in one."""
-    return _hashed("\0".join(path)), beside_article(path), in_article(path)
-
-
-def own_rules(texts: list[tuple[tuple, str]]) -> list[bool]:
-    """For each (path, text) of a page whether it is article text as far as the page tells."""
-    places = [place_of(path) for path, _ in texts]
-    article = any(inside and not beside for _, beside, inside in places)
-    return [not beside and (inside or not article) for _, beside, inside in places]
+def place_of(path: tuple[str, ...]) -> tuple[int, bool, bool, bool]:
+    """A hash of a path, whether it is beside the article, in one, in a list."""
+    listed = any(e.split(".", 1)[0] in ("li", "dt", "dd") for e in path)
+    return _hashed("\0".join(path)), beside_article(path), in_article(path), listed
+
+
+def own_rules(texts: list[tuple[tuple, str, int, int]]) -> list[bool]:
+    """For each (path, text, linked, list) of a page whether it is article text as far as the
+    page tells: a list whose text is mostly links is not."""
+    places = [place_of(path) for path, *_ in texts]
+    article = any(inside and not beside for _, beside, inside, _ in places)
+    plain: dict[int, int] = {}  # for each list its characters outside links, less those in links
+    for (*_, listed), (_, text, linked, number) in zip(places, texts, strict=True):
+        if listed:
+            own = len("".join(text.split())) - 2 * linked
+            plain[number] = plain.get(number, 0) + own
+    return [
+        not beside and (inside or not article) and not (listed and plain[number] < 0)
+        for (_, beside, inside, listed), (*_, number) in zip(places, texts, strict=True)
+    ]
 
 
 def decisions(parts: list) -> dict[int, int]:
@@ -417,9 +450,9 @@ def text_of(page: str | None, known: dict[int, int]) -> str:
     """The article of a page, given what is known of its host's slots."""
     texts = [value for kind, value in placed(page) if kind == "text"]
     out = []
-    for (path, text), keep in zip(texts, own_rules(texts), strict=True):
-        place, _, inside = place_of(path)
-        if keep and (inside or known.get(place, 0) < PAGES):
+    for (path, text, *_), keep in zip(texts, own_rules(texts), strict=True):
+        place, _, inside, _ = place_of(path)
+        if keep and known.get(place, 0) < (PAGES if inside else PAGES_OUTSIDE):
             out.append(text)
     return " ".join(out)
 
@@ -504,7 +537,7 @@ def extract(pages: DataFrame) -> DataFrame:
     constant = inferred.mapInArrow(decide, "host string, place long, pages long").union(beyond)
     constant = constant.groupBy("host", "place").agg(F.min("pages").alias("pages"))
     hosts = written(
-        constant.filter(F.col("pages") > 1).groupBy("host").agg(
+        constant.filter(F.col("pages") >= PAGES_OUTSIDE).groupBy("host").agg(
             F.to_json(F.collect_list(F.array("place", "pages"))).alias("slots")
         ), "wrapper_slots",
     )

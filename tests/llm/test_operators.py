@@ -301,6 +301,20 @@ def test_html_copies_of_a_page_are_no_template(spark):
     assert all(texts[k] == f"Title {k % 2} Text {k % 2}" for k in range(10, 16))
 
 
+def test_html_link_lists_and_template_text_in_articles(spark):
+    menu = "<ul>" + "".join(f"<li><a href=/{{n}}{j}>Go {{n}}{j}</a></li>" for j in range(3)) + "</ul>"
+    body = "<h2><a>Head {n}</a></h2><p><a>Link {n}</a><ul><li>Item {n} <a>x</a></ul>"
+    same = "<div class=lead>Read daily</div>"
+    rows = [(k, "http://a.org/", (f"<div>{menu}</div><div class=c>{body}</div>").format(n=k)) for k in range(4)]
+    rows += [(10 + k, "http://b.org/", f"<article>{menu}{same}{body}</article>".format(n=k)) for k in range(4)]
+    rows += [(20, None, f"<main>{menu}{same}{body}</main>".format(n=5))]
+    texts = texts_of(spark, rows)
+    for k in range(4):
+        assert texts[k] == texts[10 + k] == f"Head {k} Link {k} Item {k} x"
+    assert texts[20] == "Read daily Head 5 Link 5 Item 5 x"
+    assert html.text_of("<ul><li><a>Go</li><li>plain and long text", {}) == "Go plain and long text"
+
+
 def test_slots_beyond_a_bounded_wrapper_keep_their_evidence(spark, monkeypatch):
     """A host of many templates: the text of a place is not template where a lost slot varies."""
     monkeypatch.setattr(html, "MAX_PARTS", 4)
