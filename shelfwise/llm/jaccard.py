@@ -39,6 +39,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from shelfwise.llm.graph import components
 from shelfwise.llm.shingles import shingle_set
@@ -612,7 +613,7 @@ def _piece_links(pieces: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def join(documents: DataFrame) -> DataFrame:
-    """(row, doc_id, n_shingles, component_id, kept) for every row of ``documents``.
+    """(row, doc_id, class, n_shingles, component_id, kept) for every row of ``documents``.
 
     ``kept`` is true for one row of each component: its smallest id, then its first row.
     """
@@ -629,7 +630,7 @@ def join(documents: DataFrame) -> DataFrame:
     )
     joined = components(links.union(more))
     named = rows.join(joined.withColumnRenamed("node", "class"), "class", "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"),
+        "row", "doc_id", "class", F.col("n").alias("n_shingles"),
         F.coalesce("component", "class").alias("component"),
     )
     named = written(named, "jaccard_named")
@@ -638,11 +639,12 @@ def join(documents: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"),
     ).select("component", "component_id", F.col("first.row").alias("first_row"))
     alone = named.filter("component is null").select(
-        "row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
+        "row", "doc_id", "class", "n_shingles", F.col("doc_id").alias("component_id"),
         F.lit(True).alias("kept"),
     )
     return named.join(least, "component").select(
-        "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("first_row")).alias("kept")
+        "row", "doc_id", "class", "n_shingles", "component_id",
+        (F.col("row") == F.col("first_row")).alias("kept"),
     ).union(alone)
 
 
@@ -651,22 +653,61 @@ def classes(documents: DataFrame) -> DataFrame:
     return join(documents).select("doc_id", "n_shingles", "component_id")
 
 
+def _with_class(documents: DataFrame) -> DataFrame:
+    """The rows with ``own_class``: the class of a text, its digest where it has no shingles."""
+    names = [*documents.columns, "own_class"]
+    at = documents.columns.index("text")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = []
+            for text in batch.column(at).to_pylist():
+                shingles = shingle_set(text)
+                if len(shingles):
+                    classes.append(class_of(shingles))
+                else:
+                    classes.append(None if text is None else b"text:" + text.encode())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes, pa.binary())], names)
+
+    return documents.mapInArrow(add, StructType([*documents.schema, StructField("own_class", BinaryType())]))
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, all columns as they are.
 
-    The document with the smallest id stays. Rows are told apart by id: of rows that repeat an
-    id that stays, one stays; rows without an id all stay.
+    The document with the smallest id stays. Rows are told apart by id, and where an id repeats by
+    their texts' classes too; of rows that repeat both, one stays. Rows without an id go where a
+    row with an id stays for their component; where none of a component has an id, all stay.
     """
-    decided = written(join(documents).select("doc_id", "kept"), "jaccard_decided")
+    decided = written(
+        join(documents).select("doc_id", "class", "component_id", "kept"), "jaccard_decided"
+    )
     ids = decided.filter("doc_id is not null").groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.count("*").alias("n")
     )
     special = written(ids.filter("not kept or n > 1"), "jaccard_special")
     listed = special.select("doc_id")
-    repeated = special.filter("kept").select("doc_id")
+    repeated = special.filter("kept and n > 1").select("doc_id")
     small = special.count() <= BROADCAST_ROWS
-    plain = documents.join(F.broadcast(listed) if small else listed, "doc_id", "left_anti")
-    again = documents.join(F.broadcast(repeated) if small else repeated, "doc_id", "left_semi")
-    return plain.select(*documents.columns).union(
-        again.dropDuplicates(["doc_id"]).select(*documents.columns)
+
+    def few(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if small else table
+
+    kept = documents.join(few(listed), "doc_id", "left_anti").select(*documents.columns)
+    gone = decided.filter("doc_id is null and component_id is not null").select(
+        F.col("class").alias("own_class")
+    ).distinct()
+    if not gone.isEmpty():
+        nameless = _with_class(documents.filter("doc_id is null")).join(gone, "own_class", "left_anti")
+        kept = kept.filter("doc_id is not null").union(nameless.select(*documents.columns))
+    if repeated.isEmpty():
+        return kept
+    # Texts without shingles have no class; each is a component of its own.
+    chosen = decided.join(few(repeated), "doc_id", "left_semi").filter("kept and class is not null")
+    chosen = chosen.select("doc_id", F.col("class").alias("own_class")).distinct()
+    again = _with_class(documents.join(few(repeated), "doc_id", "left_semi").select(*documents.columns))
+    again = again.dropDuplicates(["doc_id", "own_class"])
+    bare = F.col("own_class").isNull() | F.startswith(F.col("own_class"), F.lit(b"text:"))
+    return kept.union(again.filter(bare).select(*documents.columns)).union(
+        again.join(chosen, ["doc_id", "own_class"], "left_semi").select(*documents.columns)
     )

@@ -179,6 +179,19 @@ def test_ngram_join(spark, documents, no_documents, no_ids):
         {c for _, _, c in brute.components(awkward_rows())})
 
 
+def test_keep_one_keeps_a_document_of_each_group_where_ids_repeat(spark):
+    a, b, c = sentence(21, 90), sentence(22, 90), sentence(23, 90)
+    rows = [(3, a), (7, a + " z"), (7, b), (8, b + " z"), (9, c), (9, c), (9, c + " z"), (9, a + " y"),
+            (None, c + " y"), (5, ""), (5, ""), (5, None), (5, " "), (4, sentence(24, 90))]
+    rows += [(4, sentence(25, 90)), (None, sentence(26, 90))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = sorted(map(repr, map(tuple, jaccard.keep_one(frame).collect())))
+    assert sum("(9, " in r for r in kept) == 1
+    assert [r for r in kept if "(9, " not in r] == sorted(map(repr, [
+        (3, a), (7, b), rows[-3], rows[-2], rows[-1], (5, ""), (5, None), (5, " ")]))
+    assert all(f"(9, '{c}" in r for r in kept if "(9, " in r)
+
+
 def test_ngram_join_of_a_large_group_with_common_passages(spark, monkeypatch):
     """Many near copies, some too far from each other, and a passage that many texts share."""
     monkeypatch.setattr(jaccard, "PIECE", 7)
