@@ -10,9 +10,13 @@ one window. Window and template then have a Jaccard similarity of at least ``LEA
 ``1 - (1 - LEAST_SIMILARITY**ROWS)**BANDS`` = 0.9999. A met pair is kept when the window holds at
 least ``CONTAINMENT`` of the template's distinct shingles.
 
-Windows are taken only around anchors. A template's anchors are words of it, at least five words
-apart, so many that a text without any of them lacks more than a fifth of its shingles; so no
-window without an anchor can be a match.
+For templates of up to ``LONG`` shingles windows are taken only around anchors. A template's
+anchors are words of it, at least five words apart, so many that a text without any of them lacks
+more than a fifth of its shingles; so no window without an anchor can be a match. Longer templates
+are looked for in all windows of the texts that hold enough of the template's words for a match.
+
+Of a license the best place is given. It is left out where another license's best place overlaps it
+and holds all of its shingles that were found there, and more: a GPL-3 notice is not GPL-2 as well.
 
 All of it is DataFrame functions; the templates' bands are broadcast while there are at most
 ``BROADCAST_TEMPLATES`` templates.
@@ -24,7 +28,9 @@ give no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +39,15 @@ from shelfwise.session import written
 
 SIZE = 5
 CONTAINMENT = 0.8
-LEAST_SIMILARITY = 0.5
-ROWS, BANDS = 2, 32
+LEAST_SIMILARITY = 0.45
+ROWS, BANDS = 2, 41
 CLASS_GROWTH = 1.25
 BROADCAST_TEMPLATES = 5_000
+#: Templates of more shingles are looked for in whole texts that hold enough of their words.
+LONG = 90
+#: Of at most so many long templates the words are compared; for more, all texts long enough are taken.
+COMPARED = 200
+TEXTS = Path(__file__).parent / "license_texts"
 
 # Notices that public licenses ask for, by SPDX identifier.
 NOTICES = (
@@ -59,6 +70,30 @@ NOTICES = (
      "2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
      "https://mozilla.org/MPL/2.0/."),
 )
+_FSF = "it under the terms of the GNU {} License as published by the Free Software Foundation"
+_LATER = "of the License, or (at your option) any later version."
+_CC = "licensed under a Creative Commons {} 4.0 International License."
+
+#: Further notices, and the texts of ``TEXTS``; Creative Commons licenses and AGPL by notice only.
+MORE_NOTICES = (
+    *((f"{name}-or-later", f"This {what} is free software{sign} you can redistribute it and/or modify "
+       f"{_FSF.format(kind)}{sign if sign == ';' else ','} either version {name.rsplit('-', 1)[1].removesuffix('.0')} {_LATER}")
+      for name, what, kind in (
+          ("GPL-2.0", "program", "General Public"),
+          ("LGPL-2.0", "library", "Library General Public"),
+          ("LGPL-2.1", "library", "Lesser General Public"),
+          ("LGPL-3.0", "library", "Lesser General Public"),
+          ("LGPL-3.0", "program", "Lesser General Public"),
+          ("AGPL-3.0", "program", "Affero General Public"))
+      for sign in ";:"),
+    *((f"CC-{short}-4.0", f"This work is {_CC.format(name)}") for short, name in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related "
+     "or neighboring rights to this work."),
+)
 
 
 def words_of(text: Column) -> Column:
@@ -94,13 +129,22 @@ def class_sizes(most: int) -> list[int]:
     return sizes
 
 
+def _missing(words: list[str]) -> int:
+    """How many of its shingles, repeated ones counted each, a match of a template may lack."""
+    shingles = [tuple(words[k : k + SIZE]) for k in range(len(words) - SIZE + 1)]
+    times = sorted(Counter(shingles).values(), reverse=True)
+    return sum(times[: len(times) * (100 - round(100 * CONTAINMENT)) // 100])
+
+
 def _anchors(words: list[str]) -> list[str]:
     """Words of a template of which a window with enough of its shingles has at least one."""
     shingles = len(words) - SIZE + 1
     if shingles <= SIZE:  # one word lies in more than a fifth of them
         inner = words[shingles - 1 : SIZE] or words[SIZE - 1 : SIZE]
         return [max(inner, key=lambda w: (len(w), w))]
-    needed = int((1 - CONTAINMENT) * shingles) // SIZE + 1
+    needed = _missing(words) // SIZE + 1
+    if needed * SIZE > shingles - SIZE + 1:  # mostly repetitions; a match holds some word
+        return sorted(set(words))
     step = (shingles - SIZE + 1) / needed
     segments = [(SIZE - 1 + int(k * step), SIZE - 1 + int((k + 1) * step)) for k in range(needed)]
     return [
@@ -109,6 +153,32 @@ def _anchors(words: list[str]) -> list[str]:
     ]
 
 
+def public_licenses() -> list[tuple[str, str]]:
+    """(license, text) of all notices and whole texts."""
+    texts = [(path.stem, path.read_text(encoding="utf-8")) for path in sorted(TEXTS.glob("*.txt"))]
+    return [*NOTICES, *MORE_NOTICES, *texts]
+
+
+def _holding(words: Column, listed: list[list[str]], size_of) -> Column:
+    """The classes of the long templates that a text can hold, by its distinct words.
+
+    A word that a text lacks costs a match all shingles around the word's places; places ``SIZE``
+    apart share none. So a text lacks at most as many of these words as shingles may be missing,
+    divided by ``SIZE``.
+    """
+    found = []
+    for own in listed:
+        least = len(own) - SIZE + 1 - _missing(own)
+        enough = F.size(words) >= least
+        if len(listed) <= COMPARED:
+            sample = sorted({*own[SIZE - 1 : len(own) - SIZE + 1 : SIZE]})
+            known = F.split(F.lit(" ".join(sample)), " ")
+            held = F.size(F.array_intersect(known, words))
+            enough = enough & (held >= len(sample) - _missing(own) // SIZE)
+        found.append(F.when(enough, F.lit(size_of(len(own) - SIZE + 1))))
+    return F.array_distinct(F.array_compact(F.array(*found)))
+
+
 def templates(spark: SparkSession, notices: Sequence[tuple[str, str]] = NOTICES) -> DataFrame:
     """(license, text) of pairs."""
     rows = F.array(*(
@@ -132,13 +202,16 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     short = [" ".join(row["words"]) for row in listed if len(row["words"]) < SIZE]
     if short:
         raise ValueError(f"templates of fewer than {SIZE} words: {short}")
-    anchors = sorted({a for row in listed for a in _anchors(row["words"])})
-    most = max((len(row["words"]) - SIZE + 1 for row in listed), default=1)
-    lengths = [len(row["words"]) - SIZE + 1 for row in listed]
-    sizes = class_sizes(most)
-    sizes = sorted({min(s for s in sizes if s >= n) for n in lengths})
-    if not listed:
-        sizes, anchors = [1], [""]
+    short = [row["words"] for row in listed if len(row["words"]) - SIZE + 1 <= LONG]
+    long = [row["words"] for row in listed if len(row["words"]) - SIZE + 1 > LONG]
+    anchors = sorted({a for words in short for a in _anchors(words)}) or [""]
+    every = class_sizes(max((len(row["words"]) - SIZE + 1 for row in listed), default=1))
+
+    def class_of(shingles: int) -> int:
+        return min(s for s in every if s >= shingles)
+
+    sizes = sorted({class_of(len(words) - SIZE + 1) for words in short}) or [1]
+    long_sizes = sorted({class_of(len(words) - SIZE + 1) for words in long})
 
     # Contexts: the words around each anchor, wide enough for the largest window.
     reach = max(s + max(1, s // 4) + SIZE for s in sizes)
@@ -174,26 +247,53 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
         .filter(F.size("words") >= SIZE)
         .select("doc_id", "size", "start", F.array_distinct(shingles_of(F.col("words"))).alias("shingles"))
     )
+    if long:
+        # Whole texts that can hold a long template: all windows of the template's class.
+        least = min(len(words) - SIZE + 1 - _missing(words) for words in long)
+        step = F.greatest(F.floor(F.col("size") / 4), F.lit(1)).cast("int")
+        whole = documents.filter(F.length("text") >= least).select(
+            "doc_id", words_of(F.col("text")).alias("words")
+        ).select("doc_id", "words", F.explode(_holding(F.col("words"), long, class_of)).alias("size"))
+        windows = windows.union(
+            whole.withColumn("step", step)
+            .withColumn("start", F.explode(F.sequence(F.lit(0), F.size("words") - SIZE, F.col("step"))))
+            .select("doc_id", "size", "start", F.array_distinct(shingles_of(F.slice(
+                F.col("words"), F.col("start") + 1, F.col("size") + F.col("step") + (SIZE - 2)
+            ))).alias("shingles"))
+        )
     banded = written(windows, "license_windows").select(
         "doc_id", "size", "start", "shingles", F.explode(bands_of(F.col("shingles"))).alias("band")
     )
     size_of = F.array_min(F.filter(
-        F.array(*map(F.lit, sizes)), lambda s: s >= F.size("words") - (SIZE - 1)
+        F.array(*map(F.lit, sorted({*sizes, *long_sizes}))), lambda s: s >= F.size("words") - (SIZE - 1)
     ))
-    wanted = known.select(
-        "license", "template", size_of.alias("size"), F.col("shingles").alias("template_shingles"),
+    few = len(listed) <= BROADCAST_TEMPLATES
+    wanted = known.select("template", size_of.alias("size"), F.explode(bands_of(F.col("shingles"))).alias("band"))
+    described = known.select(
+        "license", "template", F.col("shingles").alias("template_shingles"),
         F.size("words").alias("template_words"),
-        F.explode(bands_of(F.col("shingles"))).alias("band"),
     )
-    if len(listed) <= BROADCAST_TEMPLATES:
-        wanted = F.broadcast(wanted)
-    held = F.size(F.array_intersect("shingles", "template_shingles")) / F.size("template_shingles")
-    found = banded.join(wanted, ["size", "band"]).withColumn("containment", held).filter(
-        F.col("containment") >= CONTAINMENT
-    )
-    best = F.max(F.struct("containment", (-F.col("start")).alias("before"), "template_words"))
-    return found.groupBy("doc_id", "license").agg(best.alias("best")).select(
+    met = banded.join(F.broadcast(wanted) if few else wanted, ["size", "band"])
+    met = met.join(F.broadcast(described) if few else described, "template")
+    found = met.withColumn("held", F.array_intersect("shingles", "template_shingles")).withColumn(
+        "containment", F.size("held") / F.size("template_shingles")
+    ).filter(F.col("containment") >= CONTAINMENT)
+    best = F.max(F.struct(
+        "containment", (-F.col("start")).alias("before"), "template_words", "size", "held"
+    ))
+    best = written(found.groupBy("doc_id", "license").agg(best.alias("best")).select(
         "doc_id", "license", (-F.col("best.before")).cast("long").alias("start"),
         F.col("best.template_words").cast("long").alias("words"),
-        F.col("best.containment").alias("containment"),
+        F.col("best.containment").alias("containment"), F.col("best.size").alias("size"),
+        F.col("best.held").alias("held"),
+    ), "license_found")
+    # A place that another license explains wholly, and more of it, is not this license's.
+    a, b = best.alias("a"), best.alias("b")
+    explained = (
+        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.license") != F.col("b.license"))
+        & (F.size("b.held") > F.size("a.held"))
+        & (F.col("a.start") < F.col("b.start") + F.col("b.size") * 5 / 4 + SIZE)
+        & (F.col("b.start") < F.col("a.start") + F.col("a.size") * 5 / 4 + SIZE)
+        & (F.size(F.array_except("a.held", "b.held")) == 0)
     )
+    return a.join(b, explained, "left_anti").select("doc_id", "license", "start", "words", "containment")

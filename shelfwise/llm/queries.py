@@ -69,7 +69,8 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.scan(table(spark, folder, "documents"), licenses.templates(spark))
+    known = licenses.templates(spark, licenses.public_licenses())
+    return licenses.scan(table(spark, folder, "documents"), known)
 
 
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

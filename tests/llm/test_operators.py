@@ -401,6 +401,28 @@ def test_license_scans(spark, documents, no_documents):
     assert licenses.scan(documents, known).count() == licenses.scan(no_documents, known).count() == 0
 
 
+def test_license_scans_know_common_licenses(spark):
+    known = licenses.public_licenses()
+    rows, wanted = [], set()
+    for k, (name, text) in enumerate(known):
+        rows.append((k, sentence(k, 30 + k) + " " + text + " " + sentence(k + 1, 20)))
+        wanted.add((k, name))
+    gpl = (licenses.TEXTS / "GPL-2.0.txt").read_text().split()
+    rows += [(1000, " ".join(w for k, w in enumerate(gpl) if k % 60)), (1001, " ".join(gpl[: len(gpl) // 2]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {(r["doc_id"], r["license"])
+             for r in licenses.scan(frame, licenses.templates(spark, known)).collect()}
+    assert wanted <= found
+    assert (1000, "GPL-2.0") in found and (1001, "GPL-2.0") not in found
+    exact = {(k, n) for k, n in found if n.endswith("-or-later") and (k, n) not in wanted}
+    assert not {(k, n) for k, n in exact if k < len(known) and known[k][0].endswith("-or-later")}
+
+
+def test_license_anchors_are_enough_for_the_least_match():
+    words = [f"w{k}" for k in range(25 + licenses.SIZE - 1)]  # 5 of 25 shingles may be missing
+    assert len(licenses._anchors(words)) == 2
+
+
 def test_license_scans_find_every_notice_in_the_documents(spark):
     docs = table(spark, "documents")
     notices = [n for n in licenses.NOTICES if len(n[1]) < 80]
