@@ -143,10 +143,11 @@ def _anchors(words: list[str]) -> list[str]:
         inner = words[shingles - 1 : SIZE] or words[SIZE - 1 : SIZE]
         return [max(inner, key=lambda w: (len(w), w))]
     needed = _missing(words) // SIZE + 1
-    if needed * SIZE > shingles - SIZE + 1:  # mostly repetitions; a match holds some word
+    if needed > 1 and needed * SIZE > shingles - SIZE + 1:  # mostly repetitions; a match holds some word
         return sorted(set(words))
     step = (shingles - SIZE + 1) / needed
     segments = [(SIZE - 1 + int(k * step), SIZE - 1 + int((k + 1) * step)) for k in range(needed)]
+    segments[-1] = (segments[-1][0], shingles + SIZE - 1)  # nothing follows the last one
     return [
         max(words[begin : max(begin + 1, end - SIZE + 1)], key=lambda w: (len(w), w))
         for begin, end in segments
@@ -204,13 +205,15 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
         raise ValueError(f"templates of fewer than {SIZE} words: {short}")
     short = [row["words"] for row in listed if len(row["words"]) - SIZE + 1 <= LONG]
     long = [row["words"] for row in listed if len(row["words"]) - SIZE + 1 > LONG]
-    anchors = sorted({a for words in short for a in _anchors(words)}) or [""]
     every = class_sizes(max((len(row["words"]) - SIZE + 1 for row in listed), default=1))
 
     def class_of(shingles: int) -> int:
         return min(s for s in every if s >= shingles)
 
-    sizes = sorted({class_of(len(words) - SIZE + 1) for words in short}) or [1]
+    of_class: dict[int, set] = {} if short else {1: {""}}
+    for words in short:
+        of_class.setdefault(class_of(len(words) - SIZE + 1), set()).update(_anchors(words))
+    anchors, sizes = sorted(set().union(*of_class.values())), sorted(of_class)
     long_sizes = sorted({class_of(len(words) - SIZE + 1) for words in long})
 
     # Contexts: the words around each anchor, wide enough for the largest window.
@@ -222,15 +225,17 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
         lambda i: i.isNotNull(),
     )
     contexts = with_words.select("doc_id", "words", F.explode(places).alias("place")).select(
-        "doc_id", "place", F.greatest(F.col("place") - reach, F.lit(0)).alias("begin"), "words"
+        "doc_id", "place", F.greatest(F.col("place") - reach, F.lit(0)).alias("begin"), "words",
+        F.element_at("words", F.col("place") + 1).alias("anchor"),
     ).select(
-        "doc_id", "place", "begin",
+        "doc_id", "place", "begin", "anchor",
         F.slice("words", F.col("begin") + 1, F.lit(2 * reach + 1)).alias("words"),
     )
     # Windows: for each class, those of a fixed grid of the text that hold the anchor.
     spec = F.array(*(
         F.struct(F.lit(s).alias("size"), F.lit(max(1, s // 4)).alias("step"),
-                 F.lit(s + max(1, s // 4) - 1 + SIZE - 1).alias("width")) for s in sizes
+                 F.lit(s + max(1, s // 4) - 1 + SIZE - 1).alias("width"),
+                 F.split(F.lit(" ".join(sorted(of_class[s]))), " ").alias("anchors")) for s in sizes
     ))
     first = F.greatest(
         F.ceil((F.col("place") - F.col("s.width") + 1) / F.col("s.step")), F.lit(0)
@@ -238,7 +243,9 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     last = F.floor(F.col("place") / F.col("s.step")) * F.col("s.step")
     starts = F.sequence(first.cast("int"), last.cast("int"), F.col("s.step"))
     windows = (
-        contexts.withColumn("s", F.explode(spec))
+        contexts.withColumn(
+            "s", F.explode(F.filter(spec, lambda s: F.array_contains(s["anchors"], F.col("anchor"))))
+        )
         .withColumn("start", F.explode(starts))
         .select(
             "doc_id", F.col("s.size").alias("size"), "start",
