@@ -104,9 +104,51 @@ select w.doc_id, cast(coalesce(s.n, 0) as bigint) as n_shingles, c.component_id
 from words w left join sizes s using (row) join components c using (row)
 """
 
+_QUALITY_RULES = r"""
+with texts as (
+    select row_number() over () as row, doc_id, coalesce(text, '') as text from documents),
+words as (
+    select row, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+        list_filter(string_split(text, chr(10)),
+                    lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) as lines
+    from texts),
+places as (
+    select row, i, words[i : i + 2] as content
+    from (select row, words, unnest(range(1, len(words) - 1)) as i from words
+          where len(words) > 2)),
+repeated as (
+    select row, i from places qualify count(*) over (partition by row, content) > 1),
+covered as (
+    select row, count(distinct place) as n
+    from (select row, unnest(range(i, i + 3)) as place from repeated) group by row),
+measured as (
+    select doc_id, cast(len(words) as bigint) as n_words,
+        cast(length(array_to_string(words, '')) as bigint) as word_chars,
+        cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'gs')) as bigint) as n_symbols,
+        cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+        cast(coalesce(c.n, 0) as bigint) as n_repeat_words, len(lines) as n_lines
+    from words left join covered c using (row)),
+judged as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+        n_words > 1000000 or word_chars < 3 * n_words or word_chars > 10 * n_words
+            or 10 * n_symbols > n_words or 10 * n_dup_lines > 3 * n_lines as fatal,
+        [100 * n_repeat_words > 20 * n_words, 100 * n_symbols > 5 * n_words,
+         100 * n_dup_lines > 15 * n_lines] as counted
+    from measured)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and not fatal and len(list_filter(counted, lambda x: x)) <= 1 as kept,
+    cast((n_words < 50)::int + 2 * (100 * n_repeat_words > 50 * n_words)::int
+        + 4 * (n_words > 1000000)::int + 8 * (word_chars < 3 * n_words)::int
+        + 16 * (word_chars > 10 * n_words)::int + 32 * (10 * n_symbols > n_words)::int
+        + 64 * (10 * n_dup_lines > 3 * n_lines)::int + 128 * counted[1]::int
+        + 256 * counted[2]::int + 512 * counted[3]::int as bigint) as failed
+from judged
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_quality_rules": _QUALITY_RULES,
         "op2_url_filters": _URL_FILTERS,
         "op4_ngram_jaccard": _NGRAM_JACCARD,
         "op6_decontamination": _DECONTAMINATION,

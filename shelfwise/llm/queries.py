@@ -12,6 +12,7 @@ from shelfwise.llm import (
     licenses,
     packing,
     quality,
+    rules,
     tokens,
     toxicity,
     urls,
@@ -81,6 +82,10 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare(table(spark, folder, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
@@ -93,4 +98,5 @@ def queries() -> dict:
         "op8_fingerprints": op8_fingerprints,
         "op9_license_scans": op9_license_scans,
         "op10_toxicity": op10_toxicity,
+        "op11_quality_rules": op11_quality_rules,
     }

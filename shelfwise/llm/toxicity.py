@@ -176,9 +176,10 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
                 counts[label].update(set(keys_of(folded_words(text))))
         clean, toxic = counts
         keys = [*(clean.keys() | toxic.keys())]
-        yield pd.DataFrame({
-            "key": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys],
-        })
+        if keys:  # a frame without rows would have no string column
+            yield pd.DataFrame({
+                "key": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys],
+            })
 
     return (
         rows.mapInPandas(partial, "key string, toxic long, clean long")
