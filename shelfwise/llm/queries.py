@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
+    conversations,
     decontamination,
     fingerprints,
     html,
@@ -16,6 +17,7 @@ from shelfwise.llm import (
     tokens,
     toxicity,
     urls,
+    variants,
 )
 
 # The rules that the URL query applies.
@@ -86,6 +88,14 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group(table(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(table(spark, folder, "conversations"))
+
+
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
@@ -99,4 +109,6 @@ def queries() -> dict:
         "op9_license_scans": op9_license_scans,
         "op10_toxicity": op10_toxicity,
         "op11_quality_rules": op11_quality_rules,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_conversation_repair": op13_conversation_repair,
     }
