@@ -18,6 +18,7 @@ from shelfwise.session import new_folder, written
 from shelfwise.sources import landing, sinks, tables
 from shelfwise.sources.schemas import RAW_COLUMNS
 from shelfwise.sources.standin import StandIn
+from shelfwise.sources.versions import VersionedTable
 from shelfwise.streaming import ingest
 
 try:  # the document operators are optional; a broken import inside them is not hidden
@@ -70,14 +71,14 @@ def _at(day: str):
 # --- stored tables and loads ----------------------------------------------------------
 
 
-def _stored(name: str, *partition_by: str) -> Query:
+def _stored(name: str, stored_by: str | None = None) -> Query:
     """A model written as a table of its own and read back."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
         df = getattr(_models(spark, folder), name)
-        warehouse.replace("marts", name, df, partition_by)
-        return warehouse.read("marts", name).select(*df.columns)
+        warehouse.replace("marts", name, df, stored_by)
+        return warehouse.read("marts", name)
 
     return query
 
@@ -107,10 +108,10 @@ def _incremental(m: Models, prior: Callable[[DataFrame], DataFrame] = _prior_sal
 
 def _table_load(spark: SparkSession, folder: str) -> DataFrame:
     sales = written(marts.fct_sales(_models(spark, folder).stg_sales), "sales")
-    path = new_folder(spark, "fct_sales")
-    incremental.load_by_day(_prior_sales(sales), path)
-    incremental.load_by_day(sales, path)
-    return spark.read.parquet(path).select(*sales.columns)
+    fact = incremental.DailyFact(VersionedTable(spark, new_folder(spark, "fct_sales")))
+    fact.load(_prior_sales(sales))
+    fact.load(sales)
+    return fact.read()
 
 
 def _pipeline_build(spark: SparkSession, folder: str) -> DataFrame:
@@ -195,9 +196,9 @@ def _changed_files(spark: SparkSession, folder: str) -> DataFrame:
 def _stream_load(spark: SparkSession, folder: str) -> DataFrame:
     zone, out = new_folder(spark, "zone"), new_folder(spark, "stream")
     sinks.write_partitioned(StandIn(spark, folder)["sales"], f"{zone}/sales", "sale_date")
-    ingest.run_available(spark, zone, f"{out}/fct_sales", f"{out}/quarantine",
-                         f"{out}/checkpoint", files_per_trigger=100_000)
-    return spark.read.parquet(f"{out}/fct_sales").select(*marts.FCT_SALES_COLUMNS)
+    ingest.run_available(spark, zone, out, files_per_trigger=100_000)
+    fact, *_ = ingest.sales_tables(spark, out)
+    return fact.read()
 
 
 def _appended_bad_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,6 +74,12 @@ def fct_sales(sales: DataFrame) -> DataFrame:
     return sales.select(*FCT_SALES_COLUMNS)
 
 
+def daily_sums(sales: DataFrame) -> DataFrame:
+    """Units by day, store and product: what demand over any window is added up from."""
+    return sales.groupBy("sale_date", "store_id", "product_id").agg(
+        F.sum("quantity").alias("quantity"))
+
+
 def fct_inventory(inventory: DataFrame, sales: DataFrame) -> DataFrame:
     return stock_status(inventory, daily_demand(sales))
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators import history
-from shelfwise.operators.incremental import load_by_day, read_if_present
-from shelfwise.operators.observability import record_run
+from shelfwise.operators.incremental import DailyFact
+from shelfwise.operators.observability import stamped
 from shelfwise.operators.quality import run_checks
 from shelfwise.plans import intermediate, marts, quarantine, staging
 from shelfwise.plans.contract import CATEGORIES, full_contract
@@ -154,45 +154,55 @@ def create_views(models: Models, names=VIEWS) -> None:
         getattr(models, name).createOrReplaceTempView(name)
 
 
+def sales_fact(warehouse: Warehouse) -> DailyFact:
+    return DailyFact(warehouse.table("marts", "fct_sales"), sums=marts.daily_sums)
+
+
 def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
           ) -> dict[str, DataFrame]:
     """One nightly run: every layer written, each stored table returned for reading.
 
-    Raw sales are parsed once, into a typed table that tells valid from rejected rows; the
-    fact, the quarantine and the demand rates read the columns they need from it, and a lost
-    executor costs a re-read. Facts are stored by day. ``fct_sales`` is loaded incrementally;
-    the other tables are rebuilt.
+    Raw sales are parsed once, into a typed table by day that tells valid from rejected rows; the
+    fact, the quarantine and the demand rates read the columns and days they need from it, and a
+    lost executor costs a re-read. ``fct_sales`` is loaded incrementally; the other tables are
+    rebuilt. Tables change by commits, so a run that dies leaves readable tables.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     models = Models(raw)
-    out = warehouse.replace
 
     typed = models.typed_sales
-    out("staging", "typed_sales", typed.withColumn("is_valid", staging.sales_row_is_valid()))
+    warehouse.replace("staging", "typed_sales",
+                      typed.withColumn("is_valid", staging.sales_row_is_valid()), "sale_date")
     stored = warehouse.read("staging", "typed_sales")
     sales = stored.filter("is_valid").select(*typed.columns)
     rejected = stored.filter("NOT is_valid").select(*typed.columns)
-    out("quarantine", "quarantine_sales", quarantine.quarantine_sales(rejected, as_of))
+    sales_fact(warehouse).load(marts.fct_sales(sales))
+    return build_marts(models, warehouse, sales, rejected, as_of)
 
+
+def build_marts(models: Models, warehouse: Warehouse, daily_sales: DataFrame,
+                rejected: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """Everything behind typed sales and the sales fact. ``daily_sales`` are valid sales, or their
+    sums by day, stored by day."""
+    out = warehouse.replace
+    out("quarantine", "quarantine_sales", quarantine.quarantine_sales(rejected, as_of))
     out("marts", "dim_suppliers", models.dim_suppliers)
     out("marts", "dim_products", models.dim_products)
     out("marts", "dim_stores", models.dim_stores)
-
-    load_by_day(marts.fct_sales(sales), warehouse.path("marts", "fct_sales"))
-    warehouse.register("marts", "fct_sales", partitioned=True)
+    warehouse.register("marts", "fct_sales")
     # Stored, so that the planner knows its size and can split a hot key of the join below.
-    out("intermediate", "daily_demand", intermediate.daily_demand(sales))
+    out("intermediate", "daily_demand", intermediate.daily_demand(daily_sales))
     demand = warehouse.read("intermediate", "daily_demand")
     out("marts", "fct_inventory",
-        intermediate.stock_status(models.stg_inventory_snapshots, demand),
-        partition_by=["snapshot_date"])
+        intermediate.stock_status(models.stg_inventory_snapshots, demand), "snapshot_date")
     inventory = warehouse.read("marts", "fct_inventory")
     out("marts", "dim_date", marts.dim_date(inventory))
     out("marts", "fct_purchase_orders", models.fct_purchase_orders)
 
-    previous = read_if_present(warehouse.spark, warehouse.path("snapshots", "suppliers_snapshot"))
-    versions = history.snapshot(models.stg_suppliers, previous, as_of)
-    warehouse.replace_from_itself("snapshots", "suppliers_snapshot", versions)
+    known = warehouse.exists("snapshots", "suppliers_snapshot")
+    previous = warehouse.read("snapshots", "suppliers_snapshot") if known else None
+    out("snapshots", "suppliers_snapshot",
+        history.snapshot(models.stg_suppliers, previous, as_of))
     return {table: warehouse.read(layer, table) for table, layer in STORED.items()}
 
 
@@ -211,7 +221,6 @@ def check(raw: RawTables, warehouse: Warehouse, run_id: str, at: Column,
         **{t: warehouse.read(layer, t) for t, layer in STORED.items() if layer == "marts"},
     }
     results = run_checks(tables, full_contract(categories))
-    path = warehouse.path("observability", "check_results")
-    record_run(results, path, run_id, at)
-    history_ = warehouse.spark.read.parquet(path)
-    return history_.filter(F.col("run_id") == run_id)
+    warehouse.append("observability", "check_results", stamped(results, run_id, at))
+    recorded = warehouse.read("observability", "check_results")
+    return recorded.filter(F.col("run_id") == run_id)

@@ -86,7 +86,7 @@ def test_masks_are_decided_at_planning_time(spark, built):
 
 
 def test_no_query_has_a_cross_or_nested_loop_join(spark):
-    from __spark_entry__ import queries
+    from __spark_entry__ import _warehouse_queries as queries
 
     writes_by_day = {"fct_sales_table_load", "pipeline_build", "union_by_name_load",
                      "positional_load", "changed_files", "stream_load", "dq_contract",

@@ -1,10 +1,12 @@
-"""Every registered query against its SQL on the smallest data."""
+"""Every registered warehouse query against its SQL on the smallest data."""
 
 from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _warehouse_queries as queries
+from __spark_entry__ import entry
+from oracles import ORACLES
 from tests.compare import compare, database
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,8 +20,8 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     df = queries()[name](spark, FOLDER)
-    if name in oracle_sql():
-        assert compare(con, df, oracle_sql()[name]) is None
+    if name in ORACLES:
+        assert compare(con, df, ORACLES[name]) is None
     else:
         assert df.count() > 0
 
@@ -29,4 +31,4 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLES) <= set(queries())
