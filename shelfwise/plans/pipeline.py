@@ -16,8 +16,15 @@ from shelfwise.operators.observability import stamped
 from shelfwise.operators.quality import run_checks
 from shelfwise.plans import intermediate, marts, quarantine, staging
 from shelfwise.plans.contract import CATEGORIES, full_contract
+from shelfwise.sources import zone as zone_files
+from shelfwise.sources.schemas import RAW_COLUMNS
 from shelfwise.sources.tables import Warehouse
+from shelfwise.sources.versions import Version
 
+#: Loads from landed sales carry the RAW version that they were made from.
+RAW_LABEL = "raw-v"
+#: The area of a landed RAW table with its typed rows.
+TYPED = "typed"
 # Layer of every stored table.
 STORED = {
     "dim_suppliers": "marts", "dim_products": "marts", "dim_stores": "marts",
@@ -155,7 +162,7 @@ def create_views(models: Models, names=VIEWS) -> None:
 
 
 def sales_fact(warehouse: Warehouse) -> DailyFact:
-    return DailyFact(warehouse.table("marts", "fct_sales"), sums=marts.daily_sums)
+    return DailyFact(warehouse.table("marts", "fct_sales"))
 
 
 def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
@@ -180,6 +187,98 @@ def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
     return build_marts(models, warehouse, sales, rejected, as_of)
 
 
+class ZoneTables:
+    """Raw tables landed from a zone, and what is typed from them, kept up file day by file day."""
+
+    def __init__(self, warehouse: Warehouse):
+        self.warehouse = warehouse
+        self.raw = {name: warehouse.table("raw", name) for name in RAW_COLUMNS}
+        # Typed sales go by file day, the key, and are stored by sale day; so a file that is sent
+        # again takes its former rows away wherever they were, and units add up by sale day.
+        self.sales = DailyFact(
+            warehouse.table("staging", "typed_sales"), key=zone_files.DAY, date="sale_date",
+            sums=lambda rows: marts.daily_sums(rows.filter("is_valid")))
+
+    def land(self, zone: str, loaded_at: Column | None = None) -> dict[str, zone_files.Landed]:
+        """Read what changed in the zone; returns what was read for each table."""
+        def typed(name):
+            return lambda rows: staging.stage(rows, name, zone_files.DAY)
+
+        landed = {}
+        for name, table in self.raw.items():
+            derived = {} if name == "sales" else {TYPED: typed(name)}
+            landed[name] = zone_files.land(
+                self.warehouse.spark, zone, name, table, derived, loaded_at)
+            self.warehouse.register("raw", name)
+        self._stage_sales()
+        return landed
+
+    def days_since(self, done: Version | None) -> tuple[set[str], set[str]]:
+        """File days of raw sales that are new or changed since the state that a table was loaded
+        from, and those that are gone. All are new where that state is not known any more."""
+        raw = self.raw["sales"]
+        now = raw.version().areas["rows"].parts
+        before: dict = {}
+        numbers = [int(x.removeprefix(RAW_LABEL)) for x in (done.labels if done else ())
+                   if x.startswith(RAW_LABEL)]
+        if numbers and raw.knows(max(numbers)):
+            before = dict(raw.version(max(numbers)).areas["rows"].parts)
+        return {d for d, load in now.items() if before.get(d) != load}, set(before) - set(now)
+
+    def raw_label(self) -> str:
+        return f"{RAW_LABEL}{self.raw['sales'].version().number}"
+
+    def _stage_sales(self) -> None:
+        """Type the file days that staging does not hold in RAW's state yet; a run that died
+        between the two is made up for."""
+        staged = self.sales.table.version()
+        if staged is not None and self.raw_label() in staged.labels:
+            return
+        new, lost = self.days_since(staged)
+        raw = self.raw["sales"]
+        rows = raw.read_area("rows", raw.version().areas["rows"], new)
+        typed = staging.typed_sales(rows, zone_files.DAY).withColumn(
+            "is_valid", staging.sales_row_is_valid())
+        gone = self.warehouse.spark.createDataFrame(
+            [(day,) for day in sorted(lost | new)], f"{zone_files.DAY} string")
+        self.sales.load(typed, self.raw_label(), only_newer=False, gone=gone)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.raw[name].read()
+
+    def typed(self, name: str) -> DataFrame:
+        if name == "sales":
+            return self.sales.read().filter("is_valid").select(*RAW_COLUMNS["sales"])
+        return self.raw[name].read(TYPED).select(*RAW_COLUMNS[name])
+
+
+def build_from_zone(zone: str, warehouse: Warehouse, as_of: Column | None = None,
+                    late_rows: bool = False) -> tuple[dict[str, DataFrame], dict]:
+    """One nightly run on files: land what changed, type it, and build everything behind it.
+
+    The sales fact is loaded from the file days that changed only. Like the load of whole raw tables
+    it ignores rows older than its last day, unless ``late_rows``. Returns the stored tables and
+    what was landed.
+    """
+    as_of = F.current_timestamp() if as_of is None else as_of
+    tables = ZoneTables(warehouse)
+    landed = tables.land(zone, as_of)
+    models = Models(tables)
+    for name in RAW_COLUMNS:
+        if name != "sales":
+            models.__dict__[f"stg_{name}"] = tables.typed(name)
+    stored = tables.sales.read()
+    rejected = stored.filter("NOT is_valid").select(*RAW_COLUMNS["sales"])
+    fact = sales_fact(warehouse)
+    loaded = fact.table.version()
+    if loaded is None or tables.raw_label() not in loaded.labels:
+        days, _ = tables.days_since(loaded)
+        valid = stored.filter("is_valid")
+        changed = valid if loaded is None else valid.filter(F.col(zone_files.DAY).isin(sorted(days)))
+        fact.load(marts.fct_sales(changed), tables.raw_label(), only_newer=not late_rows)
+    return build_marts(models, warehouse, tables.sales.read_sums(), rejected, as_of), landed
+
+
 def build_marts(models: Models, warehouse: Warehouse, daily_sales: DataFrame,
                 rejected: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     """Everything behind typed sales and the sales fact. ``daily_sales`` are valid sales, or their

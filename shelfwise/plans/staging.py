@@ -38,8 +38,9 @@ def typed(name: str) -> Column:
     return F.col(name)
 
 
-def stage(raw: DataFrame, table: str) -> DataFrame:
-    return raw.select(*(typed(name) for name in RAW_COLUMNS[table]))
+def stage(raw: DataFrame, table: str, *further: str) -> DataFrame:
+    """The typed columns of a raw table, and ``further`` columns as they are."""
+    return raw.select(*(typed(name) for name in RAW_COLUMNS[table]), *further)
 
 
 def stg_suppliers(raw: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def stg_purchase_orders(raw: DataFrame) -> DataFrame:
 CHECKED = ("sale_date", "quantity", "discount_pct", "amount_eur")
 
 
-def typed_sales(raw: DataFrame) -> DataFrame:
+def typed_sales(raw: DataFrame, *further: str) -> DataFrame:
     """Typed but unfiltered sales, the common input of the valid and the quarantined rows.
 
     The checked columns come out of a generator. A filter on them stays above it and reads
@@ -74,7 +75,7 @@ def typed_sales(raw: DataFrame) -> DataFrame:
     """
     parsed = F.inline(F.array(F.struct(*(typed(name) for name in CHECKED))))
     kept = (typed(name) for name in RAW_COLUMNS["sales"] if name not in CHECKED)
-    return raw.select(*kept, parsed).select(*RAW_COLUMNS["sales"])
+    return raw.select(*kept, *further, parsed).select(*RAW_COLUMNS["sales"], *further)
 
 
 def stg_sales(typed_rows: DataFrame) -> DataFrame:
