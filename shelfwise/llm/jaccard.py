@@ -50,12 +50,12 @@ PERCENT = 80
 FREQUENT = 200_000
 PROPOSED = 20_000
 #: Shingles that a task looks at together for its proposals.
-_TOGETHER = 2_000_000
+_TOGETHER = 1_000_000
 #: Prefix entries of one bucket, and classes of one piece of a block.
 BUCKET = 1_000_000
 PIECE = 1_000
 #: Ids of at most so many rows are broadcast to pick rows out of the texts.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 #: The weight of probing against merging in DivideSkip's choice of long lists.
 _MU = 0.01
 #: Short lists of more items in sum are merged in arrays instead of a heap.
@@ -208,12 +208,12 @@ def _described(documents: DataFrame) -> DataFrame:
     """Rows of two kinds: (row, doc_id, n, class) of each text, and frequent shingles."""
     doc_id = documents.schema["doc_id"].dataType.simpleString()
     names = ["row", "doc_id", "n", "class", "shingles", "counts"]
-    id_type = pa.int64() if doc_id == "bigint" else pa.int32()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         seen: dict[bytes, np.ndarray] = {}
         held = 0
+        id_type = pa.null()
         kept: list[tuple[np.ndarray, np.ndarray]] = []
 
         def count() -> None:
@@ -223,6 +223,7 @@ def _described(documents: DataFrame) -> DataFrame:
             seen.clear()
 
         for batch in batches:
+            id_type = batch.column(0).type
             sizes, classes = [], []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py())
@@ -415,7 +416,11 @@ def _stars(blocks: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(class, n, sketch, shingles packed) of every class that is in a block, once."""
+    """(class, n, sketch, shingles packed) of every class that is in a block, once.
+
+    A class is taken from the text of its least id; where the text of a row with that id is of
+    another class it is passed over. Sets are moved only where ids with their texts repeat.
+    """
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = {m[i : i + 16] for m in batch.column(0).to_pylist() for i in range(0, len(m), 16)}
@@ -426,36 +431,40 @@ def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> Data
         described.filter("row >= 0 and n > 0").join(wanted, "class", "left_semi")
         .groupBy("class").agg(F.min("doc_id").alias("doc_id")), "jaccard_wanted",
     )
-    ids = first.filter("doc_id is not null").select("doc_id").distinct()
+    named = first.filter("doc_id is not null")
+    total = first.count()
     rows = documents.select("doc_id", "text")
-    picked = rows.join(
-        F.broadcast(ids) if first.count() <= BROADCAST_ROWS else ids, "doc_id", "left_semi"
-    ).union(rows.filter("doc_id is null"))
+    picked = rows.join(F.broadcast(named) if total <= BROADCAST_ROWS else named, "doc_id")
+    nameless = first.filter("doc_id is null").select("class")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in (shingle_set(t.as_py()) for t in batch.column(0)) if len(s)]
+            found = {}
+            for text, own in zip(batch.column(0), batch.column(1), strict=True):
+                shingles, own = shingle_set(text.as_py()), own.as_py()
+                if len(shingles) and own in (None, class_of(shingles)):
+                    found[class_of(shingles)] = shingles
             yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in sets], pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([sketch_of(s) for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
+                [pa.array([*found], pa.binary()),
+                 pa.array([len(s) for s in found.values()], pa.int64()),
+                 pa.array([sketch_of(s) for s in found.values()], pa.binary()),
+                 pa.array([s.tobytes() for s in found.values()], pa.binary())],
                 ["class", "n", "sketch", "shingles"],
             )
 
-    packed = picked.select("text").mapInArrow(pack, "class binary, n long, sketch binary, shingles binary")
-    return written(
-        packed.join(first.select("class"), "class", "left_semi").dropDuplicates(["class"]),
-        "jaccard_sets",
-    )
+    schema = "class binary, n long, sketch binary, shingles binary"
+    packed = picked.select("text", "class").mapInArrow(pack, schema)
+    if not nameless.isEmpty():
+        without = rows.filter("doc_id is null").select("text", F.lit(None).cast("binary").alias("class"))
+        packed = packed.union(without.mapInArrow(pack, schema).join(nameless, "class", "left_semi"))
+    packed = written(packed, "jaccard_packed")
+    if packed.count() == total:
+        return packed
+    return written(packed.dropDuplicates(["class"]), "jaccard_sets")
 
 
-def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) of ``stars`` that are linked.
-
-    Sketches rule out most pairs before any set is moved. The sets of all y stream past their x,
-    which comes first; a first class with very many partners is divided among tasks.
-    """
+def _possible(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) that sketches do not rule out; no whole set is moved."""
     def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, n, b, m = (batch.column(c).to_pylist() for c in (2, 3, 4, 5))
@@ -466,17 +475,59 @@ def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     narrow = sets.select("class", "sketch", "n")
-    stars = stars.join(narrow.toDF("x", "x_sketch", "x_n"), "x").join(
-        narrow.toDF("y", "y_sketch", "y_n"), "y"
-    ).select("x", "y", "x_sketch", "x_n", "y_sketch", "y_n").mapInArrow(
-        rule_out, "x binary, y binary"
+    return written(
+        stars.join(narrow.toDF("x", "x_sketch", "x_n"), "x")
+        .join(narrow.toDF("y", "y_sketch", "y_n"), "y")
+        .select("x", "y", "x_sketch", "x_n", "y_sketch", "y_n")
+        .mapInArrow(rule_out, "x binary, y binary"), "jaccard_stars")
+
+
+def _still_apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose classes are not in one component yet."""
+    own = joined.select(F.col("node").alias("x"), F.col("component").alias("x_component"))
+    other = joined.select(F.col("node").alias("y"), F.col("component").alias("y_component"))
+    apart = F.coalesce("x_component", "x") != F.coalesce("y_component", "y")
+    return pairs.join(own, "x", "left").join(other, "y", "left").filter(apart).select("x", "y")
+
+
+def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs ``stars`` that are linked, as far as they connect classes.
+
+    First every class meets one of its first classes, the one that most classes have. That connects
+    most of what can be connected; what is then still apart, meets in the second round. So a set
+    is moved about once, however many blocks its class is in.
+    """
+    possible = _possible(stars, sets)
+    popular = possible.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    one = (
+        possible.join(popular, "x").groupBy("y")
+        .agg(F.max(F.struct("n", "x")).alias("best")).select(F.col("best.x").alias("x"), "y")
     )
-    salted = F.pmod(F.xxhash64("y"), F.lit(64)).cast("int")
-    stars = written(stars.withColumn("salt", salted), "jaccard_stars")
-    members = stars.join(
+    one = written(one, "jaccard_first_stars")
+    links = _met(one, sets)
+    if links.isEmpty():
+        joined_rest = possible
+    else:
+        joined_rest = _still_apart(possible, components(links))
+    # A pair that has met without a link is not tried again.
+    rest = written(joined_rest.join(one, ["x", "y"], "left_anti"), "jaccard_more_stars")
+    return links if rest.isEmpty() else links.union(_met(rest, sets))
+
+
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The linked ones of some pairs (x, y).
+
+    The sets of all y stream past their x, which comes first; an x with more than ``PIECE`` partners
+    is sent to several tasks.
+    """
+    parts = pairs.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("parts"))
+    salted = pairs.join(parts, "x").withColumn(
+        "salt", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int"))
+    salted = written(salted.select("x", "y", "salt"), "jaccard_pairs")
+    members = salted.join(
         sets.select(F.col("class").alias("y"), "shingles"), "y"
     ).select("x", "salt", "y", "shingles")
-    heads = stars.select("x", "salt").distinct().join(
+    heads = salted.select("x", "salt").distinct().join(
         sets.select(F.col("class").alias("x"), "shingles"), "x"
     ).select("x", "salt", F.lit(None).cast("binary").alias("y"), "shingles")
     ordered = heads.union(members).repartition("x", "salt").sortWithinPartitions(
@@ -494,11 +545,11 @@ def _star_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
                 names.clear()
                 sets_.clear()
 
-            for x, y, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(packed, np.uint64)
+            for x, y, packed in zip(*batch.columns, strict=True):
+                own, y = np.frombuffer(packed.as_py(), np.uint64), y.as_py()
                 if y is None:
                     flush()
-                    head, query = x, own
+                    head, query = x.as_py(), own
                 else:
                     names.append(y)
                     sets_.append(own)
@@ -653,15 +704,16 @@ def classes(documents: DataFrame) -> DataFrame:
     return join(documents).select("doc_id", "n_shingles", "component_id")
 
 
-def _with_class(documents: DataFrame) -> DataFrame:
-    """The rows with ``own_class``: the class of a text, its digest where it has no shingles."""
-    names = [*documents.columns, "own_class"]
+def _with_class(documents: DataFrame, name: str) -> DataFrame:
+    """The rows with their class under ``name``: a digest of the text where it has no shingles."""
+    names = [*documents.columns, name]
     at = documents.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             classes = []
-            for text in batch.column(at).to_pylist():
+            for text in batch.column(at):
+                text = text.as_py()
                 shingles = shingle_set(text)
                 if len(shingles):
                     classes.append(class_of(shingles))
@@ -669,16 +721,20 @@ def _with_class(documents: DataFrame) -> DataFrame:
                     classes.append(None if text is None else b"text:" + text.encode())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes, pa.binary())], names)
 
-    return documents.mapInArrow(add, StructType([*documents.schema, StructField("own_class", BinaryType())]))
+    return documents.mapInArrow(add, StructType([*documents.schema, StructField(name, BinaryType())]))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, all columns as they are.
 
-    The document with the smallest id stays. Rows are told apart by id, and where an id repeats by
-    their texts' classes too; of rows that repeat both, one stays. Rows without an id go where a
-    row with an id stays for their component; where none of a component has an id, all stay.
+    The document with the smallest id stays; in a component without any id, one row of it. Rows are
+    told apart by id, and where an id repeats or is null by their texts' classes; of rows that
+    repeat both, one stays. Texts without shingles are linked with nothing: under one id, or without
+    an id, those with one and the same text count as repeated rows only where the id repeats.
     """
+    own = "own_class"
+    while own in documents.columns:
+        own += "_"
     decided = written(
         join(documents).select("doc_id", "class", "component_id", "kept"), "jaccard_decided"
     )
@@ -694,20 +750,27 @@ def keep_one(documents: DataFrame) -> DataFrame:
         return F.broadcast(table) if small else table
 
     kept = documents.join(few(listed), "doc_id", "left_anti").select(*documents.columns)
-    gone = decided.filter("doc_id is null and component_id is not null").select(
-        F.col("class").alias("own_class")
-    ).distinct()
-    if not gone.isEmpty():
-        nameless = _with_class(documents.filter("doc_id is null")).join(gone, "own_class", "left_anti")
-        kept = kept.filter("doc_id is not null").union(nameless.select(*documents.columns))
+    nameless = decided.filter("doc_id is null and class is not null")
+    if not nameless.isEmpty():
+        stays = nameless.filter("kept and component_id is null").select(
+            F.col("class").alias(own)).distinct()
+        classed = _with_class(documents.filter("doc_id is null"), own)
+        bare = F.col(own).isNull() | F.startswith(F.col(own), F.lit(b"text:"))
+        one = classed.filter(~bare).join(stays, own, "left_semi").dropDuplicates([own])
+        kept = (
+            kept.filter("doc_id is not null")
+            .union(classed.filter(bare).select(*documents.columns))
+            .union(one.select(*documents.columns))
+        )
     if repeated.isEmpty():
         return kept
     # Texts without shingles have no class; each is a component of its own.
     chosen = decided.join(few(repeated), "doc_id", "left_semi").filter("kept and class is not null")
-    chosen = chosen.select("doc_id", F.col("class").alias("own_class")).distinct()
-    again = _with_class(documents.join(few(repeated), "doc_id", "left_semi").select(*documents.columns))
-    again = again.dropDuplicates(["doc_id", "own_class"])
-    bare = F.col("own_class").isNull() | F.startswith(F.col("own_class"), F.lit(b"text:"))
+    chosen = chosen.select("doc_id", F.col("class").alias(own)).distinct()
+    again = _with_class(
+        documents.join(few(repeated), "doc_id", "left_semi").select(*documents.columns), own)
+    again = again.dropDuplicates(["doc_id", own])
+    bare = F.col(own).isNull() | F.startswith(F.col(own), F.lit(b"text:"))
     return kept.union(again.filter(bare).select(*documents.columns)).union(
-        again.join(chosen, ["doc_id", "own_class"], "left_semi").select(*documents.columns)
+        again.join(chosen, ["doc_id", own], "left_semi").select(*documents.columns)
     )

@@ -11,7 +11,7 @@ import numpy as np
 import xxhash
 
 SIZE = 5
-_CACHED = 300_000
+_CACHED = 100_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: One odd multiplier for each word of a shingle, drawn from a fixed seed.
 _MULTIPLIERS = np.random.default_rng(5).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -39,6 +39,8 @@ MAX_FIT_ROWS = 20_000
 MAX_PATTERNS = 2_000
 MAX_EXCEPTIONS = 2_000
 PREFIX_LENGTHS = range(3, 9)
+#: A task counts so many keys before it passes them on.
+HELD = 100_000
 #: A pattern must be so much (log ratio) more frequent in toxic texts, in so many of them.
 MIN_LOG_RATIO = 4.0
 MIN_TOXIC = 6
@@ -170,16 +172,23 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
     """(key, toxic, clean): in how many toxic and clean texts each key occurs."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = (Counter(), Counter())
+        clean, toxic = counts = (Counter(), Counter())
+
+        def held() -> Iterator[pd.DataFrame]:
+            keys = [*(clean.keys() | toxic.keys())]
+            if keys:  # a frame without rows would have no string column
+                yield pd.DataFrame({
+                    "key": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys],
+                })
+            clean.clear()
+            toxic.clear()
+
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 counts[label].update(set(keys_of(folded_words(text))))
-        clean, toxic = counts
-        keys = [*(clean.keys() | toxic.keys())]
-        if keys:  # a frame without rows would have no string column
-            yield pd.DataFrame({
-                "key": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys],
-            })
+                if len(clean) + len(toxic) >= HELD:
+                    yield from held()
+        yield from held()
 
     return (
         rows.mapInPandas(partial, "key string, toxic long, clean long")

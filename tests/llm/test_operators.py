@@ -172,7 +172,7 @@ def test_ngram_join(spark, documents, no_documents, no_ids):
     assert same(found, brute.components(awkward_rows()))
     assert jaccard.classes(no_documents).count() == 0
     assert [tuple(r) for r in jaccard.classes(no_ids).collect()] == [(None, 2, None)] * 2
-    assert jaccard.keep_one(no_ids).count() == 2
+    assert jaccard.keep_one(no_ids).count() == 1
     kept = jaccard.keep_one(documents)
     assert kept.columns == documents.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(
@@ -192,6 +192,16 @@ def test_keep_one_keeps_a_document_of_each_group_where_ids_repeat(spark):
     assert all(f"(9, '{c}" in r for r in kept if "(9, " in r)
 
 
+def test_keep_one_with_text_ids_null_ids_and_a_clashing_column(spark):
+    a, b = sentence(31, 90), sentence(32, 90)
+    rows = [("k1", a, 1), ("k0", a + " z", 2), (None, b, 3), (None, b, 4), (None, b + " z", 5),
+            (None, a + " y", 6), (None, None, 7), (None, "", 8)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string, own_class int").repartition(3)
+    kept = [tuple(r) for r in jaccard.keep_one(frame).collect()]
+    assert ("k0", a + " z", 2) in kept and (None, None, 7) in kept and (None, "", 8) in kept
+    assert len(kept) == 4 and sum(r[0] is None and bool(r[1]) for r in kept) == 1
+
+
 def test_ngram_join_of_a_large_group_with_common_passages(spark, monkeypatch):
     """Many near copies, some too far from each other, and a passage that many texts share."""
     monkeypatch.setattr(jaccard, "PIECE", 7)
