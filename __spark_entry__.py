@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracles import ORACLES, PART_CATEGORIES
+from shelfwise.functions import line_amount
 from shelfwise.operators import history, incremental, observability, quality
 from shelfwise.operators import replenishment as planning
 from shelfwise.operators import usage
@@ -16,9 +18,10 @@ from shelfwise.plans.contract import full_contract
 from shelfwise.plans.pipeline import Models
 from shelfwise.session import new_folder, written
 from shelfwise.sources import landing, sinks, tables
-from shelfwise.sources.schemas import RAW_COLUMNS
+from shelfwise.sources import zone as zone_files
+from shelfwise.sources.schemas import DIMENSIONS, FACTS, LOADED_AT, RAW_COLUMNS, SOURCE_FILE
 from shelfwise.sources.standin import StandIn
-from shelfwise.sources.versions import VersionedTable
+from shelfwise.sources.versions import ROWS, VersionedTable
 from shelfwise.streaming import ingest
 
 try:  # the document operators are optional; a broken import inside them is not hidden
@@ -35,6 +38,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FIRST_SNAPSHOT, SECOND_SNAPSHOT = "2026-07-18", "2026-07-19"
 TWO_STORES = ("STO-003", "STO-007")
 WIDE_THRESHOLD = 21
+#: Letters of a date that name its month.
+MONTH = 7
 # Malformed sale rows, one broken rule each.
 BAD_SALES = (
     ("SAL-BAD-001", "2026-07-18", "STO-001", "SKU-00001", "0", "10.00", "0.0", "0.00"),
@@ -215,20 +220,147 @@ def _keyed_update(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _stored_raw_append(spark: SparkSession, folder: str) -> DataFrame:
+    """The hand-written rows appended to a stored RAW table."""
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    raw = StandIn(spark, folder)["sales"]
+    warehouse.replace("raw", "sales", raw)
+    bad = tables.literal_rows(spark, BAD_SALES, "sales", "simulated-bad-data")
+    warehouse.append("raw", "sales", bad.select(*raw.columns))
+    typed = staging.typed_sales(warehouse.read("raw", "sales"))
+    return quarantine.quarantine_sales(typed).select("sale_id", "quarantine_reason")
+
+
+def _stored_raw_update(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    warehouse.replace("raw", "suppliers", StandIn(spark, folder)["suppliers"])
+    changed = tables.update_by_key(
+        warehouse.read("raw", "suppliers"), "supplier_id", "SUP-0002", SUPPLIER_CHANGE)
+    warehouse.replace("raw", "suppliers", changed)
+    return staging.stg_suppliers(warehouse.read("raw", "suppliers"))
+
+
+def _zone(spark: SparkSession, folder: str) -> str:
+    """The six raw tables as files: facts by month, dimensions as they stand."""
+    raw, zone = StandIn(spark, folder), new_folder(spark, "zone")
+    for name, (where, date) in FACTS.items():
+        sinks.write_partitioned(raw[name], f"{zone}/{where}", date, letters=MONTH)
+    for name in DIMENSIONS:
+        sinks.write_current_state(raw[name], f"{zone}/{name}")
+    return zone
+
+
+def _raw_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All six tables landed from files and stored, twice; the second replaces the first."""
+    zone = _zone(spark, folder)
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    for _ in range(2):
+        for name, rows in landing.load_zone(spark, zone, _at(FIRST_SNAPSHOT)).items():
+            warehouse.replace("raw", name, rows)
+    return warehouse.row_counts(dict.fromkeys(RAW_COLUMNS, "raw"))
+
+
+def _raw_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed sales by the folder of the file they name, and how many carry the load time."""
+    zone = new_folder(spark, "zone")
+    sinks.write_partitioned(StandIn(spark, folder)["sales"], f"{zone}/sales", "sale_date", letters=MONTH)
+    table = VersionedTable(spark, new_folder(spark, "raw_sales"))
+    zone_files.land(spark, zone, "sales", table, loaded_at=_at(FIRST_SNAPSHOT))
+    return table.read().groupBy(
+        F.regexp_extract(SOURCE_FILE, "/dt=([^/]*)/[^/]+[.]csv$", 1).alias("folder")
+    ).agg(F.count(F.lit(1)).alias("n_rows"),
+          F.count_if(F.col(LOADED_AT) == _at(FIRST_SNAPSHOT)).alias("n_stamped"))
+
+
+def _dimension_typed_read(spark: SparkSession, folder: str) -> DataFrame:
+    where = new_folder(spark, "suppliers")
+    sinks.write_current_state(StandIn(spark, folder)["suppliers"], where)
+    return landing.read_dimension_csv(spark, f"{where}/*.csv", "suppliers")
+
+
+def _zone_to_marts(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    built, _ = pipeline.build_from_zone(_zone(spark, folder), warehouse, _at(FIRST_SNAPSHOT))
+    return _fingerprint_of(built)
+
+
+def _zone_second_build(spark: SparkSession, folder: str) -> DataFrame:
+    """A build, then another after the last month of sales was sent again, without its even
+    quantities and with other amounts, and after a supplier changed."""
+    raw, zone = StandIn(spark, folder), _zone(spark, folder)
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    built, _ = pipeline.build_from_zone(zone, warehouse, _at(FIRST_SNAPSHOT))
+    month = str(built["fct_sales"].agg(F.max("sale_date")).first()[0])[:MONTH]
+    even = F.coalesce(F.col("quantity").try_cast("int") % 2 == 0, F.lit(False))
+    again = raw["sales"].filter(F.startswith("sale_date", F.lit(month)) & ~even).withColumn(
+        "amount_eur", F.lit("1.00"))
+    again.write.mode("overwrite").options(**sinks.CSV).csv(f"{zone}/sales/dt={month}")
+    sinks.write_current_state(
+        tables.update_by_key(raw["suppliers"], "supplier_id", "SUP-0002", SUPPLIER_CHANGE),
+        f"{zone}/suppliers")
+    built, landed = pipeline.build_from_zone(zone, warehouse, _at(SECOND_SNAPSHOT))
+    demand = warehouse.read("intermediate", "daily_demand")
+    rows = F.count(F.lit(1)).cast("double")
+    parts = [
+        built["fct_sales"].agg(rows.alias("fct_sales.n_rows"), F.round(F.sum("amount_eur")).alias("fct_sales.revenue")),
+        demand.agg(F.sum("units_last_28d").cast("double").alias("demand.units")),
+        built["quarantine_sales"].agg(rows.alias("quarantine.n_rows")),
+        built["suppliers_snapshot"].agg(
+            rows.alias("suppliers.n_versions"),
+            F.count_if(F.col(history.VALID_TO).isNull()).cast("double").alias("suppliers.n_open")),
+        spark.range(1).select(
+            F.lit(float(len(landed["sales"].days))).alias("landed.sales_folders"),
+            F.lit(float(len(landed["purchase_orders"].days))).alias("landed.order_folders"),
+            F.lit(float(landed["suppliers"].rows)).alias("landed.supplier_rows"),
+            F.lit(float(landed["products"].rows)).alias("landed.product_rows")),
+    ]
+    metrics = [
+        part.select(F.inline(F.array(*(
+            F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in part.columns))))
+        for part in parts
+    ]
+    return reduce(DataFrame.unionByName, metrics)
+
+
+def _sql_serving(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored query over stored tables, asked for by name."""
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"), catalog=True)
+    m = _models(spark, folder)
+    warehouse.replace("marts", "fct_sales", m.fct_sales)
+    warehouse.replace("marts", "dim_stores", m.dim_stores)
+    warehouse.create_view("staging", "store_units", """
+        SELECT store_name, COUNT(*) AS n_sales, SUM(quantity) AS units
+        FROM {marts}.fct_sales JOIN {marts}.dim_stores USING (store_id) GROUP BY store_name""")
+    return warehouse.query("SELECT * FROM {staging}.store_units WHERE units > 0")
+
+
 # --- history --------------------------------------------------------------------------
 
 
+def _supplier_history_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The history as a stored table that saw two snapshots; stamps as text, in all columns."""
+    m = _models(spark, folder)
+    kept = history.SupplierHistory(VersionedTable(spark, new_folder(spark, "suppliers_snapshot")))
+    for source, day in ((m.stg_suppliers, FIRST_SNAPSHOT), (_second_suppliers(m), SECOND_SNAPSHOT)):
+        kept.observe(source, _at(day), label=day)
+    stamps = (history.UPDATED_AT, history.VALID_FROM, history.VALID_TO)
+    return kept.read().withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps})
+
+
 def _supplier_history(m: Models) -> DataFrame:
     """Two snapshots: some lead times shortened, some scores lost, some suppliers gone."""
-    first = m.stg_suppliers
+    opened = written(history.snapshot(m.stg_suppliers, None, _at(FIRST_SNAPSHOT)), "snapshot")
+    return history.snapshot(_second_suppliers(m), opened, _at(SECOND_SNAPSHOT))
+
+
+def _second_suppliers(m: Models) -> DataFrame:
     lead = F.col("nominal_lead_time_days")
-    second = (
-        first.filter(lead != 11)
+    return (
+        m.stg_suppliers.filter(lead != 11)
         .withColumn("reliability_score", F.when(lead != 9, F.col("reliability_score")))
         .withColumn("nominal_lead_time_days", F.when(lead == 6, 5).otherwise(lead))
     )
-    opened = written(history.snapshot(first, None, _at(FIRST_SNAPSHOT)), "snapshot")
-    return history.snapshot(second, opened, _at(SECOND_SNAPSHOT))
 
 
 def _by_day(versions: DataFrame) -> DataFrame:
@@ -280,13 +412,63 @@ def _run_history(spark: SparkSession, folder: str) -> DataFrame:
     m = _models(spark, folder)
     checks = {"sales": quality.TableChecks(not_null=[
         "sale_date", "store_id", "product_id", "quantity", "amount_eur", "discount_pct"])}
-    path = new_folder(spark, "check_results")
+    recorded = VersionedTable(spark, new_folder(spark, "check_results"))
     runs = {"before": m.typed_sales, "after": m.stg_sales}
     for run, sales in runs.items():
-        observability.record_run(
-            quality.run_checks({"sales": sales}, checks), path, run, _at(FIRST_SNAPSHOT)
-        )
-    return observability.regressions(spark.read.parquet(path), "before", "after")
+        results = quality.run_checks_measured({"sales": sales}, checks)
+        recorded.append(observability.stamped(results, run, _at(FIRST_SNAPSHOT)), label=run)
+    return observability.regressions(recorded.read(), "before", "after")
+
+
+def _measured_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The run history of one build: every table written, its rows, and that it was timed."""
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    pipeline.build(StandIn(spark, folder), warehouse, _at(FIRST_SNAPSHOT))
+    recorded = pipeline.record_steps(warehouse, "night", _at(FIRST_SNAPSHOT))
+    return recorded.select(
+        "run_id", "layer", "table_name", "n_rows", (F.col("seconds") > 0).alias("timed"))
+
+
+def _stored_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole contract, checked on what a build stored."""
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    pipeline.build(StandIn(spark, folder), warehouse, _at(FIRST_SNAPSHOT))
+    return pipeline.check(warehouse, "night", _at(FIRST_SNAPSHOT), PART_CATEGORIES).select(
+        "check_name", "table_name", "column_name", "failures", "passed")
+
+
+def _compare_builds(spark: SparkSession, folder: str) -> DataFrame:
+    """Two builds of the sales fact of which the second raised some amounts of the last day and
+    lost some of its rows: the rows in which they differ."""
+    table = VersionedTable(spark, new_folder(spark, "fct_sales"))
+    table.replace(marts.fct_sales(_models(spark, folder).stg_sales), "sale_date")
+    last = table.version().areas[ROWS].days()[-1]
+    day = table.read(parts=[last])
+    raised = F.when(F.col("quantity") % 2 == 0, F.col("amount_eur") + 1).otherwise(F.col("amount_eur"))
+    changed = day.filter(F.col("quantity") % 5 != 0).withColumn("amount_eur", raised)
+    table.replace_parts(changed, "sale_date", [last])
+    return observability.differing_versions(table, 1, 2, ["sale_id"]).select(
+        "sale_id", "sale_date", "quantity", "amount_eur", "n_left", "n_right")
+
+
+def _schema_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns that changed between two stored builds of the dimensions."""
+    m = _models(spark, folder)
+    warehouse = tables.Warehouse(spark, new_folder(spark, "warehouse"))
+    first = {"dim_suppliers": m.dim_suppliers, "dim_stores": m.dim_stores, "dim_products": m.dim_products}
+    second = {
+        "dim_suppliers": m.dim_suppliers.drop("city").withColumn(
+            "nominal_lead_time_days", F.col("nominal_lead_time_days").cast("double")),
+        "dim_stores": m.dim_stores.withColumn("opened_on", F.current_date()),
+        "dim_products": m.dim_products,
+    }
+    seen = []
+    for build in (first, second):
+        for name, df in build.items():
+            warehouse.replace("marts", name, df)
+        seen.append(observability.capture_schema(
+            spark, {name: warehouse.read("marts", name) for name in build}))
+    return observability.schema_changes(*seen)
 
 
 # --- usage ----------------------------------------------------------------------------
@@ -373,6 +555,7 @@ def _warehouse_queries() -> dict[str, Query]:
         "pipeline_build": _pipeline_build,
         # history
         "suppliers_scd2": _with(lambda m: _by_day(_supplier_history(m))),
+        "supplier_history_table": _supplier_history_table,
         "suppliers_as_of": _with(
             lambda m: _by_day(history.as_of(_supplier_history(m), _at(FIRST_SNAPSHOT)))),
         "orders_with_supplier_terms": _with(_orders_with_terms),
@@ -412,6 +595,12 @@ def _warehouse_queries() -> dict[str, Query]:
         "dq_contract": _contract,
         "dq_summary": lambda spark, folder: quality.summarize(_contract(spark, folder)),
         "run_history": _run_history,
+        "measured_run": _measured_run,
+        "stored_contract": _stored_contract,
+        "compare_builds": _compare_builds,
+        "schema_diff": _schema_diff,
+        "line_amounts": _with(lambda m: m.stg_sales.select(
+            "sale_id", line_amount("quantity", "unit_price_eur", "discount_pct").alias("computed_eur"))),
         "build_fingerprint": _with(
             lambda m: _fingerprint_of({t: getattr(m, t) for t in (
                 "fct_inventory", "fct_purchase_orders", "dim_suppliers", "dim_products",
@@ -423,6 +612,14 @@ def _warehouse_queries() -> dict[str, Query]:
         "changed_files": _changed_files,
         "appended_bad_rows": _appended_bad_rows,
         "keyed_update": _keyed_update,
+        "stored_raw_append": _stored_raw_append,
+        "stored_raw_update": _stored_raw_update,
+        "raw_row_counts": _raw_row_counts,
+        "raw_lineage": _raw_lineage,
+        "dimension_typed_read": _dimension_typed_read,
+        "zone_to_marts": _zone_to_marts,
+        "zone_second_build": _zone_second_build,
+        "sql_serving": _sql_serving,
         "stream_load": _stream_load,
         # usage
         "usage_by_group": _usage(usage.usage_by_group),
@@ -431,6 +628,8 @@ def _warehouse_queries() -> dict[str, Query]:
         "usage_top5": _usage(usage.busiest_types),
         "usage_top2_of_two": _usage(
             lambda log: usage.busiest_types(log, only=("purchase", "view"))),
+        "usage_top5_of_a_warehouse": _usage(
+            lambda log: usage.busiest_types(log, where={"warehouse": "WH-1"})),
         # planning
         "weekday_profile": _with(lambda m: planning.weekday_profile(m.stg_sales)),
         "reorder_policy": _with(_policy),

@@ -230,6 +230,29 @@ RELATIONS = {
         from suppliers_day2 n join stg_suppliers o using (supplier_id)
         where o.nominal_lead_time_days is distinct from n.nominal_lead_time_days
            or o.reliability_score is distinct from n.reliability_score""",
+    "last_month": """
+        select max(sale_date) as d, substr(cast(max(sale_date) as varchar), 1, 7) as m
+        from stg_sales""",
+    "last_day": """
+        select * from stg_sales where sale_date = (select max(sale_date) from stg_sales)""",
+    "raw_again": """
+        select sale_id, sale_date, store_id, product_id, quantity, unit_price_eur, discount_pct,
+               case when substr(sale_date, 1, 7) = m then '1.00' else amount_eur end as amount_eur
+        from raw_sales cross join last_month
+        where substr(sale_date, 1, 7) <> m
+           or coalesce(try_cast(trim(quantity) as integer) % 2 <> 0, true)""",
+    "typed_again": f"""
+        select sale_id, {_cast('sale_date', 'date')}, store_id, product_id,
+               {_cast('quantity', 'integer')}, {_cast('unit_price_eur', 'double')},
+               {_cast('discount_pct', 'double')}, {_cast('amount_eur', 'double')}
+        from raw_again""",
+    "valid_again": f"select * from typed_again where {_VALID}",
+    "merged_again": """
+        select s.* from stg_sales s
+        where not exists (select 1 from valid_again v cross join last_month
+                          where v.sale_id = s.sale_id and v.sale_date >= d)
+        union all
+        select v.* from valid_again v cross join last_month where v.sale_date >= d""",
     "latest": """
         select * from fct_inventory
         where snapshot_date = (select max(snapshot_date) from fct_inventory)""",
@@ -245,7 +268,7 @@ RELATIONS = {
         from demand d join stg_products p using (product_id)
         join stg_suppliers s on p.supplier_id = s.supplier_id""",
     "usage_log": """
-        select event_type as resource, cast(ts as date) as usage_date, value as amount
+        select 'WH-' || (user_id % 3) as warehouse, event_type as resource, cast(ts as date) as usage_date, value as amount
         from events""",
 }
 
@@ -627,6 +650,101 @@ SELECTS = {
                case when supplier_id = 'SUP-0002' then date '2026-07-19' else valid_from end
                  as valid_from
         from stg_suppliers""",
+    "stored_raw_append": f"""
+        select sale_id, {_REASON} as quarantine_reason
+        from (select sale_id, {_cast('sale_date', 'date')}, store_id, product_id,
+                     {_cast('quantity', 'integer')}, {_cast('unit_price_eur', 'double')},
+                     {_cast('discount_pct', 'double')}, {_cast('amount_eur', 'double')}
+              from (select * from raw_sales union all
+                    select * from {_BAD_ROWS} b({_SALES_COLUMNS})))
+        where not ({_VALID})""",
+    "stored_raw_update": """
+        select supplier_id, supplier_name, country, city,
+               case when supplier_id = 'SUP-0002' then 5 else nominal_lead_time_days end
+                 as nominal_lead_time_days,
+               case when supplier_id = 'SUP-0002' then 0.9::double else reliability_score end
+                 as reliability_score,
+               case when supplier_id = 'SUP-0002' then date '2026-07-19' else valid_from end
+                 as valid_from
+        from stg_suppliers""",
+    "raw_row_counts": " union all ".join(
+        f"select '{t}' as table_name, count(*) as n_rows from raw_{t}" for t in (
+            "suppliers", "products", "stores", "sales", "inventory_snapshots", "purchase_orders")),
+    "raw_lineage": """
+        select case when sale_date = '' then '__HIVE_DEFAULT_PARTITION__'
+                    else substr(sale_date, 1, 7) end as folder,
+               count(*) as n_rows, count(*) as n_stamped
+        from raw_sales group by 1""",
+    "dimension_typed_read": "select * from stg_suppliers",
+    "zone_to_marts": _FINGERPRINT.replace("SALES", "fct_sales"),
+    "zone_second_build": """
+        select * from (values
+          ('fct_sales.n_rows', (select count(*)::double from merged_again)),
+          ('fct_sales.revenue', (select round(sum(amount_eur)) from merged_again)),
+          ('demand.units', (select sum(quantity)::double from valid_again
+             where sale_date > (select max(sale_date) - 28 from valid_again))),
+          ('quarantine.n_rows', (select count(*)::double from typed_again)
+             - (select count(*)::double from valid_again)),
+          ('suppliers.n_versions', (select count(*) + count(*) filter (
+             where supplier_id = 'SUP-0002' and (nominal_lead_time_days <> 5
+               or reliability_score <> 0.9::double)) from stg_suppliers)::double),
+          ('suppliers.n_open', (select count(*)::double from stg_suppliers)),
+          ('landed.sales_folders', 1::double),
+          ('landed.order_folders', 0::double),
+          ('landed.supplier_rows', (select count(*)::double from stg_suppliers)),
+          ('landed.product_rows', 0::double)
+        ) t(metric, value)""",
+    "sql_serving": """
+        select store_name, count(*) as n_sales, cast(sum(quantity) as bigint) as units
+        from fct_sales join dim_stores using (store_id) group by store_name""",
+    "measured_run": """
+        select 'night' as run_id, layer, table_name, n_rows, true as timed from (
+          select 'staging' as layer, 'typed_sales' as table_name, count(*) as n_rows from typed_sales
+          union all select 'marts', 'fct_sales', count(*) from fct_sales
+          union all select 'staging', 'stg_suppliers', count(*) from stg_suppliers
+          union all select 'staging', 'stg_products', count(*) from stg_products
+          union all select 'staging', 'stg_stores', count(*) from stg_stores
+          union all select 'staging', 'stg_inventory_snapshots', count(*) from stg_inventory_snapshots
+          union all select 'staging', 'stg_purchase_orders', count(*) from stg_purchase_orders
+          union all select 'quarantine', 'quarantine_sales', count(*) from quarantine
+          union all select 'marts', 'dim_suppliers', count(*) from dim_suppliers
+          union all select 'marts', 'dim_products', count(*) from dim_products
+          union all select 'marts', 'dim_stores', count(*) from dim_stores
+          union all select 'intermediate', 'daily_demand', count(*) from demand
+          union all select 'marts', 'fct_inventory', count(*) from fct_inventory
+          union all select 'marts', 'dim_date', count(*) from dim_date
+          union all select 'marts', 'fct_purchase_orders', count(*) from fct_purchase_orders
+          union all select 'snapshots', 'suppliers_snapshot', count(*) from stg_suppliers)""",
+    "stored_contract": contract_sql(),
+    "compare_builds": """
+        select sale_id, sale_date, quantity, amount_eur, cast(1 as bigint) as n_left,
+               cast(0 as bigint) as n_right
+        from last_day where quantity % 5 = 0 or quantity % 2 = 0
+        union all
+        select sale_id, sale_date, quantity, amount_eur + 1, cast(0 as bigint), cast(1 as bigint)
+        from last_day where quantity % 5 <> 0 and quantity % 2 = 0""",
+    "schema_diff": """
+        select * from (values
+          ('dim_suppliers', 'city', 'string', null, 'removed'),
+          ('dim_suppliers', 'nominal_lead_time_days', 'int', 'double', 'type_changed'),
+          ('dim_stores', 'opened_on', null, 'date', 'added')
+        ) t(table_name, column_name, old_type, new_type, change)""",
+    "line_amounts": f"""
+        select sale_id, {_round('quantity * unit_price_eur * (1.0::double - discount_pct)', 2)}
+                 as computed_eur
+        from stg_sales""",
+    "supplier_history_table": f"""
+        select supplier_id, supplier_name, country, city, nominal_lead_time_days,
+               reliability_score, valid_from,
+               md5(supplier_id || '|' || cast(valid_from_day as varchar) || ' 00:00:00') as dbt_scd_id,
+               cast(valid_from_day as varchar) || ' 00:00:00' as dbt_updated_at,
+               cast(valid_from_day as varchar) || ' 00:00:00' as dbt_valid_from,
+               cast(valid_to_day as varchar) || ' 00:00:00' as dbt_valid_to
+        from suppliers_history""",
+    "usage_top5_of_a_warehouse": f"""
+        select resource, count(*) as n, {_round('sum(amount) / 1000.0::double', 1)} as seconds
+        from usage_log where warehouse = 'WH-1'
+        group by resource order by seconds desc nulls last, resource limit 5""",
     "union_by_name_load": f"""
         select {", ".join(f"nullif({c}, '') as {c}" for c in (
             "po_id", "order_date", "supplier_id", "product_id", "store_id", "ordered_qty",

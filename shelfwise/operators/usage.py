@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,9 +62,13 @@ def storage_average(log: DataFrame, today: Column | None = None,
 
 
 def busiest_types(log: DataFrame, group: str = "resource", elapsed_ms: str = "amount",
-                  rows: int = BUSIEST, only: Sequence[str] | None = None) -> DataFrame:
+                  rows: int = BUSIEST, only: Sequence[str] | None = None,
+                  where: Mapping[str, object] | None = None) -> DataFrame:
     """Groups with the most elapsed time, of those in ``only`` if given; groups without any time
-    come last."""
+    come last. ``where`` names columns and the value that a row must have there, the warehouse of
+    a query, say."""
+    for column, value in (where or {}).items():
+        log = log.filter(F.col(column) == value)
     if only is not None:
         log = log.filter(F.col(group).isin(list(only)))
     return (

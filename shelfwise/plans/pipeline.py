@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import history
 from shelfwise.operators.incremental import DailyFact
-from shelfwise.operators.observability import stamped
-from shelfwise.operators.quality import run_checks
+from shelfwise.operators.observability import stamped, steps_table
+from shelfwise.operators.quality import run_checks_measured
 from shelfwise.plans import intermediate, marts, quarantine, staging
 from shelfwise.plans.contract import CATEGORIES, full_contract
 from shelfwise.sources import zone as zone_files
@@ -183,7 +183,8 @@ def build(raw: RawTables, warehouse: Warehouse, as_of: Column | None = None
     stored = warehouse.read("staging", "typed_sales")
     sales = stored.filter("is_valid").select(*typed.columns)
     rejected = stored.filter("NOT is_valid").select(*typed.columns)
-    sales_fact(warehouse).load(marts.fct_sales(sales))
+    with warehouse.measured("marts", "fct_sales") as report:
+        report["rows"] = sales_fact(warehouse).load(marts.fct_sales(sales))["rows"]
     return build_marts(models, warehouse, sales, rejected, as_of)
 
 
@@ -267,6 +268,7 @@ def build_from_zone(zone: str, warehouse: Warehouse, as_of: Column | None = None
     for name in RAW_COLUMNS:
         if name != "sales":
             models.__dict__[f"stg_{name}"] = tables.typed(name)
+            models.kept.add(f"stg_{name}")
     stored = tables.sales.read()
     rejected = stored.filter("NOT is_valid").select(*RAW_COLUMNS["sales"])
     fact = sales_fact(warehouse)
@@ -282,8 +284,12 @@ def build_from_zone(zone: str, warehouse: Warehouse, as_of: Column | None = None
 def build_marts(models: Models, warehouse: Warehouse, daily_sales: DataFrame,
                 rejected: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     """Everything behind typed sales and the sales fact. ``daily_sales`` are valid sales, or their
-    sums by day, stored by day."""
+    sums by day, stored by day. The other staging tables are stored once and read from there."""
     out = warehouse.replace
+    for name in VIEWS:
+        if name.startswith("stg_") and name != "stg_sales" and name not in models.kept:
+            out("staging", name, getattr(models, name))
+            models.__dict__[name] = warehouse.read("staging", name)
     out("quarantine", "quarantine_sales", quarantine.quarantine_sales(rejected, as_of))
     out("marts", "dim_suppliers", models.dim_suppliers)
     out("marts", "dim_products", models.dim_products)
@@ -298,28 +304,43 @@ def build_marts(models: Models, warehouse: Warehouse, daily_sales: DataFrame,
     out("marts", "dim_date", marts.dim_date(inventory))
     out("marts", "fct_purchase_orders", models.fct_purchase_orders)
 
-    known = warehouse.exists("snapshots", "suppliers_snapshot")
-    previous = warehouse.read("snapshots", "suppliers_snapshot") if known else None
-    out("snapshots", "suppliers_snapshot",
-        history.snapshot(models.stg_suppliers, previous, as_of))
-    return {table: warehouse.read(layer, table) for table, layer in STORED.items()}
+    with warehouse.measured("snapshots", "suppliers_snapshot") as report:
+        report["rows"] = supplier_history(warehouse).observe(models.stg_suppliers, as_of)["open"]
+    return stored_tables(warehouse)
 
 
-def check(raw: RawTables, warehouse: Warehouse, run_id: str, at: Column,
-          categories=CATEGORIES) -> DataFrame:
-    """Run the whole contract on a build, append the outcome to the history, return it."""
-    models = Models(raw)
-    stored = warehouse.read("staging", "typed_sales").filter("is_valid")
+def supplier_history(warehouse: Warehouse) -> history.SupplierHistory:
+    return history.SupplierHistory(warehouse.table("snapshots", "suppliers_snapshot"))
+
+
+def stored_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """Every stored table of a build, for reading."""
+    tables = {t: warehouse.read(layer, t) for t, layer in STORED.items() if layer != "snapshots"}
+    return {**tables, "suppliers_snapshot": supplier_history(warehouse).read()}
+
+
+def record_steps(warehouse: Warehouse, run_id: str, at: Column) -> DataFrame:
+    """Append the writes of a run, with rows and seconds, to the run history; return it."""
+    steps = steps_table(warehouse.spark, warehouse.steps)
+    warehouse.append("observability", "model_runs", stamped(steps, run_id, at))
+    return warehouse.read("observability", "model_runs")
+
+
+def check(warehouse: Warehouse, run_id: str, at: Column, categories=CATEGORIES,
+          zone_tables: ZoneTables | None = None) -> DataFrame:
+    """Run the whole contract on a stored build, append the outcome with its durations to the
+    history, return it. Staging is read as the build stored it, or as it was landed from a zone."""
+    names = [n for n in VIEWS if n.startswith("stg_") and n != "stg_sales"]
+    staged = {
+        n: zone_tables.typed(n.removeprefix("stg_")) if zone_tables else warehouse.read("staging", n)
+        for n in names
+    }
+    valid = warehouse.read("staging", "typed_sales").filter("is_valid").select(*RAW_COLUMNS["sales"])
     tables = {
-        "stg_suppliers": models.stg_suppliers,
-        "stg_products": models.stg_products,
-        "stg_stores": models.stg_stores,
-        "stg_sales": stored.drop("is_valid"),
-        "stg_inventory_snapshots": models.stg_inventory_snapshots,
-        "stg_purchase_orders": models.stg_purchase_orders,
+        **staged, "stg_sales": valid,
         **{t: warehouse.read(layer, t) for t, layer in STORED.items() if layer == "marts"},
     }
-    results = run_checks(tables, full_contract(categories))
+    results = run_checks_measured(tables, full_contract(categories))
     warehouse.append("observability", "check_results", stamped(results, run_id, at))
     recorded = warehouse.read("observability", "check_results")
     return recorded.filter(F.col("run_id") == run_id)

@@ -175,8 +175,9 @@ class StandIn:
         return getattr(self, name)()
 
     def usage_log(self) -> DataFrame:
-        """A usage log: what was used, when, how much."""
+        """A usage log: what was used, where, when, how much."""
         return self.table("events").select(
+            F.concat(F.lit("WH-"), F.col("user_id") % 3).alias("warehouse"),
             F.col("event_type").alias("resource"),
             F.col("ts").cast("date").alias("usage_date"),
             F.col("value").alias("amount"),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import observability, quality
 from shelfwise.operators.quality import TableChecks
+from shelfwise.sources.tables import Step, Warehouse
+from shelfwise.sources.versions import VersionedTable
 from shelfwise.plans.contract import full_contract, marts_contract, staging_contract
 
 DAY = date.fromisoformat
@@ -96,11 +98,12 @@ def test_business_rules(spark):
 def test_run_history(spark, folder, child):
     at = F.to_timestamp(F.lit("2026-07-18 00:00:00"))
     contract = {"t": TableChecks(not_null=["ref", "x"])}
+    recorded = VersionedTable(spark, f"{folder}/h")
     for run, df in (("one", child), ("two", child.filter("ref is not null"))):
-        observability.record_run(
-            quality.run_checks({"t": df}, contract), f"{folder}/h", run, at, seconds=1.5)
-    history = spark.read.parquet(f"{folder}/h")
-    assert history.count() == 4 and history.first().run_seconds == 1.5
+        results = quality.run_checks_measured({"t": df}, contract)
+        recorded.append(observability.stamped(results, run, at))
+    history = recorded.read()
+    assert history.count() == 4 and all(r.seconds > 0 for r in history.collect())
     changed = observability.regressions(history, "one", "two").collect()
     assert sorted((r.column_name, r.failures_before, r.failures_after) for r in changed) == [
         ("ref", 1, 0), ("x", 1, 0)]
@@ -122,3 +125,69 @@ def test_compare_builds(spark):
     right = spark.createDataFrame([("a", 1.0), ("c", 2.0)], "metric string, value double")
     got = {r.metric: r.agrees for r in observability.compare_builds(left, right).collect()}
     assert got == {"a": True, "b": False, "c": False}
+
+
+ROWS_OF_A_TABLE = [(1, "a", 1.0), (1, "a", 1.0), (2, None, 2.0), (3, "c", None), (4, "d", 4.0)]
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 1024])
+@pytest.mark.parametrize("change", ["none", "value", "lost", "repeated", "null moved", "swapped"])
+def test_differing_rows_are_named(spark, buckets, change):
+    schema = "id int, ref string, x double"
+    other = {
+        "none": ROWS_OF_A_TABLE[::-1], "value": [*ROWS_OF_A_TABLE[:4], (4, "d", 5.0)],
+        "lost": ROWS_OF_A_TABLE[1:], "repeated": [*ROWS_OF_A_TABLE, (4, "d", 4.0)],
+        "null moved": [*ROWS_OF_A_TABLE[:2], (2, "2.0", None), *ROWS_OF_A_TABLE[3:]],
+        "swapped": [*ROWS_OF_A_TABLE[:3], (3, "d", None), (4, "c", 4.0)],
+    }[change]
+    left, right = (spark.createDataFrame(r, schema) for r in (ROWS_OF_A_TABLE, other))
+    got = {tuple(r) for r in observability.differing_rows(left, right, ["id"], buckets).collect()}
+    expected = {
+        (*row, ROWS_OF_A_TABLE.count(row), other.count(row)) for row in {*ROWS_OF_A_TABLE, *other}
+        if ROWS_OF_A_TABLE.count(row) != other.count(row)}
+    assert got == expected
+    assert bool(observability.differing_buckets(left, right, ["id"], buckets)) == bool(expected)
+
+
+def test_versions_are_compared_by_their_changed_parts(spark, folder):
+    table = VersionedTable(spark, f"{folder}/t")
+    df = spark.createDataFrame([(k, k % 3) for k in range(9)], "id int, day int")
+    table.replace(df, "day")
+    table.replace_parts(df.filter("day = 1 and id > 1").withColumn("day", F.lit(1)), "day", ["1"])
+    diff = observability.differing_versions(table, 1, 2, ["id"])
+    assert [tuple(r) for r in diff.collect()] == [(1, 1, 1, 0)]
+    files = {f.split("/day=")[1].split("/")[0] for f in table.read_area(
+        "rows", table.version(1).areas["rows"], ["1"]).inputFiles()}
+    assert files == {"1"}
+
+
+def test_uniqueness_on_hashes_counts_what_whole_keys_count(spark):
+    df = spark.createDataFrame(
+        [(1, "a", None), (1, "a", None), (2, None, "a"), (2, None, "a"), (2, "a", None), (None, "b", "c"),
+         (None, "b", "c"), (4, None, None), (5, None, None)], "id int, p string, q string")
+    contract = {"t": TableChecks(unique=["id", "p"], unique_combination=[("p", "q"), ("id", "p", "q")]),
+                "u": TableChecks(unique=["id"])}
+    tables = {"t": df, "u": df.select("id").distinct()}
+    got = {(r.table_name, r.column_name): r.failures for r in quality.run_checks(tables, contract).collect()}
+    assert got == {
+        ("t", "id"): quality.unique(df, "id").count(), ("t", "p"): quality.unique(df, "p").count(),
+        ("t", "p, q"): quality.unique_combination(df, ["p", "q"]).count(),
+        ("t", "id, p, q"): quality.unique_combination(df, ["id", "p", "q"]).count(), ("u", "id"): 0}
+    hashes = quality.repeated_hashes(tables, [("t", ["p"], True)])
+    plan = hashes._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning(rule")
+    assert "p#" not in plan[:exchange]  # keys stay on their side of the shuffle
+
+
+def test_steps_of_runs(spark, folder):
+    warehouse = Warehouse(spark, f"{folder}/w")
+    warehouse.replace("marts", "t", spark.range(5))
+    warehouse.append("marts", "t", spark.range(2))
+    assert [(s.layer, s.table, s.version, s.rows, s.seconds > 0) for s in warehouse.steps] == [
+        ("marts", "t", 1, 5, True), ("marts", "t", 2, 2, True)]
+    at = F.to_timestamp(F.lit("2026-07-18 00:00:00"))
+    runs = [observability.stamped(observability.steps_table(spark, steps), run, at) for run, steps in (
+        ("one", [Step("m", "a", 1, 1, 1.0), Step("m", "b", 1, 1, 1.0), Step("m", "old", 1, 1, 1.0)]),
+        ("two", [Step("m", "a", 2, 1, 1.9), Step("m", "b", 2, 1, 2.1), Step("m", "new", 1, 1, 1.0)]))]
+    slow = observability.slower_steps(runs[0].unionByName(runs[1]), "one", "two")
+    assert {r.table_name for r in slow.collect()} == {"b", "old", "new"}
