@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from shelfwise.llm import caches
 from shelfwise.llm.graph import components
 from shelfwise.llm.shingles import shingle_set
 from shelfwise.session import written
@@ -50,12 +51,14 @@ PERCENT = 80
 FREQUENT = 200_000
 PROPOSED = 20_000
 #: Shingles that a task looks at together for its proposals.
-_TOGETHER = 1_000_000
+_TOGETHER = 500_000
+#: Texts whose prefix entries a task packs together.
+TOGETHER_ROWS = 2_000
 #: Prefix entries of one bucket, and classes of one piece of a block.
 BUCKET = 1_000_000
 PIECE = 1_000
-#: Ids of at most so many rows are broadcast to pick rows out of the texts.
-BROADCAST_ROWS = 1_000_000
+#: Tables of names (ids, classes, pairs; under 100 bytes a row) of at most so many rows are broadcast.
+BROADCAST_ROWS = 500_000
 #: The weight of probing against merging in DivideSkip's choice of long lists.
 _MU = 0.01
 #: Short lists of more items in sum are merged in arrays instead of a heap.
@@ -204,12 +207,19 @@ class Sketches:
         return out
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, TOGETHER_ROWS):
+            yield batch.slice(start, TOGETHER_ROWS)
+
+
 def _described(documents: DataFrame) -> DataFrame:
     """Rows of two kinds: (row, doc_id, n, class) of each text, and frequent shingles."""
     doc_id = documents.schema["doc_id"].dataType.simpleString()
     names = ["row", "doc_id", "n", "class", "shingles", "counts"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.claim("shingles")
         row = TaskContext.get().partitionId() << 33
         seen: dict[bytes, np.ndarray] = {}
         held = 0
@@ -282,7 +292,8 @@ def _prefixes(documents: DataFrame, frequent, buckets: int) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        caches.claim("shingles")
+        for batch in _sliced(batches):
             seen: set[bytes] = set()
             parts, sizes, counts = [], [], []
             for text in batch.column(0):
@@ -438,7 +449,8 @@ def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> Data
     nameless = first.filter("doc_id is null").select("class")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        caches.claim("shingles")
+        for batch in _sliced(batches):
             found = {}
             for text, own in zip(batch.column(0), batch.column(1), strict=True):
                 shingles, own = shingle_set(text.as_py()), own.as_py()
@@ -463,6 +475,11 @@ def _sets(documents: DataFrame, described: DataFrame, blocks: DataFrame) -> Data
     return written(packed.dropDuplicates(["class"]), "jaccard_sets")
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """A stored table of names, sent to the sets where its size allows; else the sets move too."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _possible(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) that sketches do not rule out; no whole set is moved."""
     def rule_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -475,8 +492,9 @@ def _possible(stars: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     narrow = sets.select("class", "sketch", "n")
+    stars = written(stars, "jaccard_candidates")
     return written(
-        stars.join(narrow.toDF("x", "x_sketch", "x_n"), "x")
+        _few(stars).join(narrow.toDF("x", "x_sketch", "x_n"), "x")
         .join(narrow.toDF("y", "y_sketch", "y_n"), "y")
         .select("x", "y", "x_sketch", "x_n", "y_sketch", "y_n")
         .mapInArrow(rule_out, "x binary, y binary"), "jaccard_stars")
@@ -524,10 +542,10 @@ def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     salted = pairs.join(parts, "x").withColumn(
         "salt", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int"))
     salted = written(salted.select("x", "y", "salt"), "jaccard_pairs")
-    members = salted.join(
+    members = _few(salted).join(
         sets.select(F.col("class").alias("y"), "shingles"), "y"
     ).select("x", "salt", "y", "shingles")
-    heads = salted.select("x", "salt").distinct().join(
+    heads = _few(written(salted.select("x", "salt").distinct(), "jaccard_heads")).join(
         sets.select(F.col("class").alias("x"), "shingles"), "x"
     ).select("x", "salt", F.lit(None).cast("binary").alias("y"), "shingles")
     ordered = heads.union(members).repartition("x", "salt").sortWithinPartitions(
@@ -659,7 +677,7 @@ def _piece_links(pieces: DataFrame, sets: DataFrame) -> DataFrame:
         .applyInArrow(rule_out, "block binary, i int, j int, piece int, class binary, component binary"),
         "jaccard_open",
     )
-    met = pieces.join(sets.select("class", "shingles"), "class")
+    met = _few(pieces).join(sets.select("class", "shingles"), "class")
     return met.groupBy("block", "i", "j").applyInArrow(search, "x binary, y binary")
 
 

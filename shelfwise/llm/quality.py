@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from shelfwise.llm import caches
 from shelfwise.session import written
 
 #: Fixed order of the statistics of one text.
@@ -101,6 +102,7 @@ def statistics_of(text: str | None) -> list[float]:
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def statistics(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    caches.claim("quality")
     for batch in texts:
         yield batch.map(lambda text: [float(x) for x in statistics_of(text)])
 
@@ -155,6 +157,7 @@ class Discriminant:
         """The score of a text in one Python pass: statistics and densities in one worker."""
         @F.pandas_udf(DoubleType())
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            caches.claim("quality")
             for batch in batches:
                 x = np.array([statistics_of(text) for text in batch])
                 yield pd.Series(self.score(x.reshape(len(batch), len(STATISTICS))))

@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from shelfwise.llm import caches
+
 SIZE = 5
 _CACHED = 100_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -28,6 +30,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+caches.register("shingles", _WORDS.clear)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm import caches
+
 
 #: Entries of the broadcast table, and how many each task proposes for it.
 FREQUENT = 32_768
@@ -171,10 +173,12 @@ class Ids:
 
 
 _WORKER: dict = {}
+caches.register("tokens", _WORKER.clear)
 
 
 def worker_ids(file: str) -> Ids:
     """The encoder of this Python worker, which outlives a task."""
+    caches.claim("tokens")
     if ("ids", file) not in _WORKER:
         _WORKER["ids", file] = Ids(file)
     return _WORKER["ids", file]
@@ -182,6 +186,7 @@ def worker_ids(file: str) -> Ids:
 
 def _worker_lengths(file: str, table, run: str) -> Cache:
     """The two tiers of this Python worker: the broadcast table, and room for misses."""
+    caches.claim("tokens")
     if _WORKER.get("run") != run:
         _WORKER["run"], _WORKER["lengths"] = run, Cache(PreTokens(file), len, table.value)
     return _WORKER["lengths"]

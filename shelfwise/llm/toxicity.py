@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
+from shelfwise.llm import caches
 from shelfwise.llm.quality import labelled
 from shelfwise.session import written
 
@@ -129,6 +130,7 @@ class Lexicon:
     def udf(self):
         @F.pandas_udf(DoubleType())
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            caches.claim("toxicity")
             for batch in batches:
                 yield pd.Series([self.score(text) for text in batch], dtype="float64")
 
@@ -172,6 +174,7 @@ def _counted(rows: DataFrame, keys_of) -> DataFrame:
     """(key, toxic, clean): in how many toxic and clean texts each key occurs."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        caches.claim("toxicity")
         clean, toxic = counts = (Counter(), Counter())
 
         def held() -> Iterator[pd.DataFrame]:
