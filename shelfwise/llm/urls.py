@@ -84,29 +84,27 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
         F.array_join(F.slice(labels, F.size(labels) - s["labels"] + 1, s["labels"]), "."),
         F.substr(F.col("path"), F.lit(1), s["letters"]),
     ))
-    expanded = parsed.select("row", F.explode(expressions).alias("expression")).select(
-        "row", _digest(F.col("expression")).alias("digest"),
+    expanded = parsed.select("*", F.explode_outer(expressions).alias("expression")).select(
+        *parsed.columns, _digest(F.col("expression")).alias("digest"),
         F.substr(_digest(F.col("expression")), F.lit(1), F.lit(PREFIX_DIGITS)).alias("prefix"),
     )
+    given = given.select("prefix", F.col("digest").alias("rule_digest"), "rule", "verdict")
+    # The short prefix finds candidates; the whole digest decides.
     if given.count() <= BROADCAST_RULES:
-        met = expanded.join(F.broadcast(given), ["prefix", "digest"])
+        met = expanded.join(F.broadcast(given), "prefix", "left")
     else:
         salted = given.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         met = expanded.withColumn("salt", (F.col("row") % SALTS).cast("int")).join(
-            salted, ["prefix", "salt", "digest"]
+            salted, ["prefix", "salt"], "left"
         )
-    # One pass over the URLs and their matches, put together by row.
-    one = met.select(
-        "row", F.struct(F.length("rule").alias("size"), "verdict", "rule").alias("best"),
-        F.lit(None).cast(pages.schema["page_id"].dataType).alias("page_id"),
-        F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"),
+    best = F.when(
+        F.col("digest") == F.col("rule_digest"),
+        F.struct(F.length("rule").alias("size"), "verdict", "rule"),
     )
-    both = one.unionByName(parsed.select(
-        "row", F.lit(None).cast(one.schema["best"].dataType).alias("best"), "page_id", "host",
-        "path",
-    ))
-    return both.groupBy("row").agg(
-        F.max("best").alias("best"), F.max("page_id").alias("page_id"), F.max("host").alias("host"),
+    # Rows come from one scan and carry their page along; of a row's expressions the best is taken
+    # in the task before anything is shuffled.
+    return met.groupBy("row").agg(
+        F.max(best).alias("best"), F.max("page_id").alias("page_id"), F.max("host").alias("host"),
         F.max("path").alias("path"),
     ).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
