@@ -25,9 +25,11 @@ Text of math and object elements is text of the page. Repeated rows are extracte
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -50,6 +52,8 @@ MAX_PARTS = 2_000
 #: articles fewer are enough.
 PAGES = 3
 PAGES_OUTSIDE = 2
+#: Two stretches of parts are compared in full up to this product of their lengths.
+COMPARED = 1_000_000
 #: The longest repeated group, in parts, that folding looks for.
 LONGEST_GROUP = 16
 
@@ -76,12 +80,15 @@ BESIDE = re.compile(
     r"(?:$|[\s_-]|\d)", re.I,
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|$)",
-    re.S | re.I,
-)
+#: Words of a label that name the layout, and those that make an article one beside the article.
+LAYOUT = re.compile(r"(?:has|with|no|without)-|(?:page-?)?layout|(?:page-?|site-?)?(?:wrapper|container|wrap)$", re.I)
+COMMENT = re.compile(
+    r"(?:^|[_-])(?:comments?|repl(?:y|ies)|respond|discussion|disqus|ads?|advert\w*|sponsor\w*|"
+    r"promo\w*|related|recommend\w*)(?:$|[_-]|\d)", re.I)
+HEADLINE = re.compile(r"(?:^|[_-])(?:header|masthead)(?:$|[_-]|\d)", re.I)
+
+_START = re.compile(r"<(?:(?P<comment>!--)|(?P<other>[!?])|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*))")
+_QUOTE_OR_END = re.compile("[>\"']")
 _RAW_END = {name: re.compile(rf"</{name}(?:\s[^>]*|/[^>]*)?>", re.I) for name in RAW}
 _LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
@@ -89,28 +96,78 @@ _DIGITS = re.compile(r"\d+")
 _OF_HEAD = frozenset("head base basefont bgsound link meta template".split())
 
 
+class _Markup:
+    """The tags, comments and declarations of a page, found from any place forward.
+
+    A quoted value is skipped whole. Where a quote is not closed the tag ends at the next ``>``; once
+    the quotes of a tag have taken every further ``>``, quotes mean nothing from there on. Without a
+    further ``>`` there are no tags. So each part of a page is read a bounded number of times.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.final = {q: page.rfind(q) for q in "\"'"}
+        self.quotes = True
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, name, "/" of an end tag, rest) of the first one from ``at`` on."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if at > self.last and page[at + 1 : at + 2] not in ("!", "?"):
+                at += 1
+                continue
+            found = _START.match(page, at)
+            if found is None:
+                at += 1
+                continue
+            if not found["name"]:
+                mark = "-->" if found["comment"] else ">"
+                close = page.find(mark, at + (4 if found["comment"] else 0))
+                return at, close + len(mark) if close >= 0 else len(page), "", "", ""
+            close = self._end(found.end())
+            return at, close + 1, found["name"], found["close"], page[found.end() : close]
+        return None
+
+    def _end(self, at: int) -> int:
+        """The place of the ``>`` that ends a tag; there is one behind ``at``, or at it."""
+        here = at
+        while self.quotes and (mark := _QUOTE_OR_END.search(self.page, here)):
+            if mark[0] == ">":
+                return mark.start()
+            if self.final[mark[0]] <= mark.start():  # not closed
+                here = mark.end()
+                break
+            here = self.page.index(mark[0], mark.end()) + 1
+        end = self.page.find(">", here)
+        if end < 0:
+            self.quotes = False
+            end = self.page.find(">", at)
+        return end
+
+
 def _events(page: str) -> list[list]:
     """[kind, name or text, label] of everything in a page, kinds as in ``tokens``."""
-    out, at, foreign = [], 0, 0
-    while found := _TOKEN.search(page, at):
-        if found.start() > at:
-            out.append(["text", page[at : found.start()], ""])
-        at = found.end()
-        name, close = (found["name"] or "").lower(), found["close"]
-        itself = bool(foreign or name in FOREIGN) and (found["rest"] or "").endswith("/")
+    out, at, foreign, markup = [], 0, 0, _Markup(page)
+    while found := markup.after(at):
+        start, end, name, close, rest = found
+        if start > at:
+            out.append(["text", page[at:start], ""])
+        at = end
+        name = name.lower()
+        itself = bool(foreign or name in FOREIGN) and rest.endswith("/")
         if name in FOREIGN and not itself:
             foreign = max(0, foreign + (-1 if close else 1))
         if name in BLOCKS:
             foreign = foreign if close else 0
-            values = [] if close else _LABEL.findall(found["rest"])
+            values = [] if close else _LABEL.findall(rest)
             label = " ".join(a or b or c for a, b, c in values).strip()
             out.append(["close" if close else "open", name, label])
         elif name in HIDDEN and not itself:
             out.append(["show" if close else "hide", name, ""])
         elif name in RAW and not close and not itself:
             out.append(["raw", name, ""])
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else len(page)
+            ending = _RAW_END[name].search(page, at)
+            at = ending.end() if ending else len(page)
         elif name in VOID:
             out.append(["break", name, ""])
         elif name:
@@ -321,6 +378,75 @@ def noted(beyond: dict[int, list], part: list) -> None:
     beyond[place] = merged(beyond[place], part) if place in beyond else part
 
 
+def opcodes(a: list, b: list) -> list[tuple[str, int, int, int, int]]:
+    """How ``a`` becomes ``b``, as ``difflib`` tells it: runs that are equal and runs that are not.
+
+    Equal ends come off first. What is left is compared in full while the product of its lengths is
+    at most ``COMPARED``; otherwise it is cut at keys that occur once on both sides, in the longest
+    order that both have, and a stretch without such keys counts as different.
+    """
+    equal: list[tuple[int, int, int]] = []  # (from in a, from in b, length)
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, j, k, m = todo.pop()
+        n = 0
+        while i + n < j and k + n < m and a[i + n] == b[k + n]:
+            n += 1
+        equal.append((i, k, n))
+        i, k, n = i + n, k + n, 0
+        while j - n > i and m - n > k and a[j - n - 1] == b[m - n - 1]:
+            n += 1
+        j, m = j - n, m - n
+        equal.append((j, m, n))
+        if i == j or k == m:
+            continue
+        if (j - i) * (m - k) <= COMPARED:
+            blocks = difflib.SequenceMatcher(None, a[i:j], b[k:m], False).get_matching_blocks()
+            equal.extend((i + x, k + y, n) for x, y, n in blocks)
+            continue
+        anchors = _anchors(a, b, i, j, k, m)
+        edges = [(i, k), *((x + 1, y + 1) for x, y in anchors)]
+        equal.extend((x, y, 1) for x, y in anchors)
+        if anchors:
+            ends = [*anchors, (j, m)]
+            todo.extend((x, u, y, v) for (x, y), (u, v) in zip(edges, ends, strict=True))
+    out, i, k = [], 0, 0
+    for x, y, n in [*sorted(e for e in equal if e[2]), (len(a), len(b), 0)]:
+        if i < x or k < y:
+            kind = "replace" if i < x and k < y else "delete" if i < x else "insert"
+            out.append((kind, i, x, k, y))
+        if n and out and out[-1][0] == "equal" and out[-1][2] == x and out[-1][4] == y:
+            _, p, _, q, _ = out.pop()
+            out.append(("equal", p, x + n, q, y + n))
+        elif n:
+            out.append(("equal", x, x + n, y, y + n))
+        i, k = x + n, y + n
+    return out
+
+
+def _anchors(a: list, b: list, i: int, j: int, k: int, m: int) -> list[tuple[int, int]]:
+    """Places of keys that occur once in both stretches, as many as stand in one order."""
+    once_a, once_b = Counter(a[i:j]), Counter(b[k:m])
+    at = {key_: y for y, key_ in enumerate(b[k:m], k) if once_b[key_] == 1}
+    pairs = [(x, at[c]) for x, c in enumerate(a[i:j], i) if once_a[c] == 1 and c in at]
+    tops: list[int] = []  # of each length the chain with the least end
+    ends: list[int] = []
+    before: list[int | None] = []
+    for n, (_, y) in enumerate(pairs):
+        slot = bisect.bisect_left(ends, y)
+        before.append(tops[slot - 1] if slot else None)
+        if slot == len(ends):
+            ends.append(y)
+            tops.append(n)
+        else:
+            ends[slot], tops[slot] = y, n
+    chain, n = [], tops[-1] if tops else None
+    while n is not None:
+        chain.append(pairs[n])
+        n = before[n]
+    return chain[::-1]
+
+
 def align(a: list, b: list, beyond: dict[int, list] | None = None, most: int = MAX_PARTS) -> list:
     """The wrapper of everything that wrapper ``a`` or wrapper ``b`` describes.
 
@@ -332,7 +458,7 @@ def align(a: list, b: list, beyond: dict[int, list] | None = None, most: int = M
     if keys_a == keys_b:
         return [merged(x, y) for x, y in zip(a, b, strict=True)]
     out: list = []
-    for what, i, j, k, m in difflib.SequenceMatcher(None, keys_a, keys_b, False).get_opcodes():
+    for what, i, j, k, m in opcodes(keys_a, keys_b):
         if what == "equal":
             out += [merged(x, y) for x, y in zip(a[i:j], b[k:m], strict=True)]
             continue
@@ -387,21 +513,37 @@ def slots(parts: list) -> Iterator[list]:
             yield from slots(part[1])
 
 
+def _names_beside(element: str, inside: bool, holds: bool) -> bool:
+    """Whether the label of one element says that it lies beside the article. ``inside``: it is in
+    an article; ``holds``: an article is in it."""
+    name, _, label = element.partition(".")
+    if not label or name in ("html", "body"):
+        return False
+    words = [w for w in label.split() if not LAYOUT.match(w)]
+    if name in ("article", "main"):
+        return any(COMMENT.search(w) for w in words)
+    if inside:  # a header within an article holds its headline
+        words = [w for w in words if not HEADLINE.search(w)]
+    if holds and len(words) < len(label.split()):
+        return False  # a word of layout: the others say how the page is laid out
+    return any(BESIDE.search(w) for w in words)
+
+
 def beside_article(path: tuple[str, ...]) -> bool:
     """Whether a path lies in navigation, adverts, comments and the like.
 
-    A header inside an article holds its headline; it counts as article.
+    A header inside an article holds its headline; it counts as article. Labels that speak of the
+    layout (``has-sidebar``, ``layout sidebar-right``) do not speak of what the element holds, and
+    an article is beside the article only if it is a comment or a recommendation.
     """
-    inside = False
-    for element in path:
-        name, _, label = element.partition(".")
-        if name in NOT_ARTICLE and not (inside and name == "header"):
+    names = [element.split(".", 1)[0] for element in path]
+    articles = [k for k, name in enumerate(names) if name in ("article", "main")]
+    first, last = (articles[0], articles[-1]) if articles else (len(path), -1)
+    for k, (name, element) in enumerate(zip(names, path, strict=True)):
+        if name in NOT_ARTICLE and not (k > first and name == "header"):
             return True
-        if label and name not in ("html", "body") and not (
-            name in ("article", "main") and not inside
-        ) and BESIDE.search(label):
+        if _names_beside(element, k > first, k < last):
             return True
-        inside = inside or name in ("article", "main")
     return False
 
 
