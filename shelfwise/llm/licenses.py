@@ -189,7 +189,8 @@ def templates(spark: SparkSession, notices: Sequence[tuple[str, str]] = NOTICES)
 
 
 def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, license, start, words, containment): the best place of each license found.
+    """(doc_id, license, start, words, containment): the best place of each license found in a row;
+    rows that repeat both id and text are one.
 
     ``known`` is a table of templates (license, text). ``start`` counts words from 0.
     """
@@ -218,17 +219,18 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
 
     # Contexts: the words around each anchor, wide enough for the largest window.
     reach = max(s + max(1, s // 4) + SIZE for s in sizes)
-    anchor_list = F.array(*(F.lit(a) for a in anchors))
-    with_words = documents.select("doc_id", words_of(F.col("text")).alias("words"))
+    # Rows are told apart by id and text: results of one text belong to one row.
+    text_id = F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_id")
+    with_words = documents.select("doc_id", text_id, words_of(F.col("text")).alias("words"))
     places = F.filter(
-        F.transform("words", lambda w, i: F.when(F.array_contains(anchor_list, w), i)),
+        F.transform("words", lambda w, i: F.when(w.isin(anchors), i)),
         lambda i: i.isNotNull(),
     )
-    contexts = with_words.select("doc_id", "words", F.explode(places).alias("place")).select(
-        "doc_id", "place", F.greatest(F.col("place") - reach, F.lit(0)).alias("begin"), "words",
+    contexts = with_words.select("doc_id", "text_id", "words", F.explode(places).alias("place")).select(
+        "doc_id", "text_id", "place", F.greatest(F.col("place") - reach, F.lit(0)).alias("begin"), "words",
         F.element_at("words", F.col("place") + 1).alias("anchor"),
     ).select(
-        "doc_id", "place", "begin", "anchor",
+        "doc_id", "text_id", "place", "begin", "anchor",
         F.slice("words", F.col("begin") + 1, F.lit(2 * reach + 1)).alias("words"),
     )
     # Windows: for each class, those of a fixed grid of the text that hold the anchor.
@@ -248,28 +250,29 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
         )
         .withColumn("start", F.explode(starts))
         .select(
-            "doc_id", F.col("s.size").alias("size"), "start",
+            "doc_id", "text_id", F.col("s.size").alias("size"), "start",
             F.slice("words", F.col("start") - F.col("begin") + 1, F.col("s.width")).alias("words"),
         )
         .filter(F.size("words") >= SIZE)
-        .select("doc_id", "size", "start", F.array_distinct(shingles_of(F.col("words"))).alias("shingles"))
+        .select("doc_id", "text_id", "size", "start",
+                F.array_distinct(shingles_of(F.col("words"))).alias("shingles"))
     )
     if long:
         # Whole texts that can hold a long template: all windows of the template's class.
         least = min(len(words) - SIZE + 1 - _missing(words) for words in long)
         step = F.greatest(F.floor(F.col("size") / 4), F.lit(1)).cast("int")
         whole = documents.filter(F.length("text") >= least).select(
-            "doc_id", words_of(F.col("text")).alias("words")
-        ).select("doc_id", "words", F.explode(_holding(F.col("words"), long, class_of)).alias("size"))
+            "doc_id", text_id, words_of(F.col("text")).alias("words")
+        ).select("doc_id", "text_id", "words", F.explode(_holding(F.col("words"), long, class_of)).alias("size"))
         windows = windows.union(
             whole.withColumn("step", step)
             .withColumn("start", F.explode(F.sequence(F.lit(0), F.size("words") - SIZE, F.col("step"))))
-            .select("doc_id", "size", "start", F.array_distinct(shingles_of(F.slice(
+            .select("doc_id", "text_id", "size", "start", F.array_distinct(shingles_of(F.slice(
                 F.col("words"), F.col("start") + 1, F.col("size") + F.col("step") + (SIZE - 2)
             ))).alias("shingles"))
         )
     banded = written(windows, "license_windows").select(
-        "doc_id", "size", "start", "shingles", F.explode(bands_of(F.col("shingles"))).alias("band")
+        "doc_id", "text_id", "size", "start", "shingles", F.explode(bands_of(F.col("shingles"))).alias("band")
     )
     size_of = F.array_min(F.filter(
         F.array(*map(F.lit, sorted({*sizes, *long_sizes}))), lambda s: s >= F.size("words") - (SIZE - 1)
@@ -288,8 +291,8 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     best = F.max(F.struct(
         "containment", (-F.col("start")).alias("before"), "template_words", "size", "held"
     ))
-    best = written(found.groupBy("doc_id", "license").agg(best.alias("best")).select(
-        "doc_id", "license", (-F.col("best.before")).cast("long").alias("start"),
+    best = written(found.groupBy("doc_id", "text_id", "license").agg(best.alias("best")).select(
+        "doc_id", "text_id", "license", (-F.col("best.before")).cast("long").alias("start"),
         F.col("best.template_words").cast("long").alias("words"),
         F.col("best.containment").alias("containment"), F.col("best.size").alias("size"),
         F.col("best.held").alias("held"),
@@ -297,7 +300,8 @@ def scan(documents: DataFrame, known: DataFrame) -> DataFrame:
     # A place that another license explains wholly, and more of it, is not this license's.
     a, b = best.alias("a"), best.alias("b")
     explained = (
-        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.license") != F.col("b.license"))
+        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_id") == F.col("b.text_id"))
+        & (F.col("a.license") != F.col("b.license"))
         & (F.size("b.held") > F.size("a.held"))
         & (F.col("a.start") < F.col("b.start") + F.col("b.size") * 5 / 4 + SIZE)
         & (F.col("b.start") < F.col("a.start") + F.col("a.size") * 5 / 4 + SIZE)
