@@ -110,11 +110,15 @@ class Lexicon:
                 excused.append((start, end))
             else:
                 found[start] = max(weight, found.get(start, 0.0))
-        return [
-            (start, line[start + 1 : line.index(" ", start + 1)], weight)
-            for start, weight in sorted(found.items())
-            if not any(a <= start < b for a, b in excused)
-        ]
+        out, reach, k = [], -1, 0
+        excused.sort()
+        for start, weight in sorted(found.items()):
+            while k < len(excused) and excused[k][0] <= start:
+                reach = max(reach, excused[k][1])
+                k += 1
+            if start >= reach:
+                out.append((start, line[start + 1 : line.index(" ", start + 1)], weight))
+        return out
 
     def measures(self, text: str | None) -> tuple[float, float]:
         """Log of the summed weight, and log of the weight for each hundred words."""
