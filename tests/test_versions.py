@@ -114,3 +114,13 @@ def test_expire_keeps_what_the_last_versions_need(spark, table):
     with pytest.raises(ValueError):
         table.read(version=1)
     assert table.replace_parts(rows(spark, ("b", "2026-07-02", 9)), "d", ["2026-07-02"]) == 1
+
+
+def test_a_commit_that_dies_takes_a_number_and_nothing_else(spark, table, monkeypatch):
+    table.replace(rows(spark, *FIRST), "d")
+    spark.createDataFrame([], "area string").write.parquet(f"{table.path}/commits/v=2/_temporary/0")
+    assert table.version().number == 1 and not table.knows(2) and table.knows(1)
+    table.replace(rows(spark, ("x", "2026-07-09", 2)))
+    assert table.version().number == 3 and content(table.read()) == [("x", "2026-07-09", 2)]
+    other = VersionedTable(spark, table.path)
+    assert other.version().number == 3 and content(other.read(version=1)) == sorted(FIRST, key=str)
