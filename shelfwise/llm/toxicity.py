@@ -8,7 +8,10 @@ weights of the hits are summed and normalised by the number of words, and a smal
 turns the sum and the density into a score.
 
 The lexicon, the exception phrases and the curve are learned from labelled rows. At most
-``MAX_FIT_ROWS`` of them are taken (by hash of the id), which bounds what the driver holds.
+``MAX_FIT_ROWS`` of them are taken (by hash of the id), which bounds what the driver holds. Rows of
+one label whose smallest three-word shingle is the same count once. A pattern needs ``MIN_TOXIC``
+toxic texts and ``MIN_TOXIC_SHARE`` of them, so words that are rarer there are not learned; at most
+``MAX_PATTERNS`` patterns and ``MAX_EXCEPTIONS`` phrases are. Scoring has no such bounds.
 
 Defined results: null and empty texts have no hits and get the lowest score. Repeated rows are
 scored each for itself; in the fit near copies with equal labels mostly count once. Null labels are ignored. With
@@ -37,8 +40,8 @@ from shelfwise.session import written
 #: At most so many labelled rows are used for learning.
 MAX_FIT_ROWS = 20_000
 #: At most so many patterns; the ones with the most toxic documents are kept.
-MAX_PATTERNS = 2_000
-MAX_EXCEPTIONS = 2_000
+MAX_PATTERNS = 20_000
+MAX_EXCEPTIONS = 20_000
 PREFIX_LENGTHS = range(3, 9)
 #: A task counts so many keys before it passes them on.
 HELD = 100_000
