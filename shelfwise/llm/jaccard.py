@@ -55,7 +55,7 @@ _TOGETHER = 500_000
 #: Texts whose prefix entries a task packs together.
 TOGETHER_ROWS = 2_000
 #: Prefix entries of one bucket, and classes of one piece of a block.
-BUCKET = 1_000_000
+BUCKET = 100_000
 PIECE = 1_000
 #: Tables of names (ids, classes, pairs; under 100 bytes a row) of at most so many rows are broadcast.
 BROADCAST_ROWS = 500_000
