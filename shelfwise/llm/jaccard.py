@@ -362,6 +362,8 @@ def _blocks(prefixes: DataFrame) -> DataFrame:
 
         def shared() -> np.ndarray:
             """Whether an entry's neighbour has the same shingle."""
+            if not len(shingle):
+                return np.zeros(0, bool)
             same = np.append(False, shingle[1:] == shingle[:-1])
             return same | np.append(same[1:], False)
 

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html, licenses, queries, toxicity, urls
+from shelfwise.llm import html, jaccard, licenses, queries, toxicity, urls
 
 
 @pytest.mark.parametrize("page", [
@@ -115,6 +115,14 @@ def test_licenses_of_rows_under_one_id_or_none(spark):
     assert found == [("7", "Apache"), ("7", "Apache"), ("7", "MIT"), ("None", "MIT"), ("None", "MIT")]
 
 
+def test_join_of_texts_that_share_nothing_in_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BUCKET", 3)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40)] + [(40, "a b c d e f g")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in jaccard.classes(docs).collect()} == {
+        *((i, 26, i) for i in range(40)), (40, 3, 40)}
+
+
 def test_no_document_query_has_a_cross_or_nested_loop_join(spark):
     for name in ("op2_url_filters", "op6_decontamination", "op11_quality_rules"):
         text = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution(
