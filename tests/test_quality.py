@@ -175,8 +175,10 @@ def test_uniqueness_on_hashes_counts_what_whole_keys_count(spark):
         ("t", "id, p, q"): quality.unique_combination(df, ["id", "p", "q"]).count(), ("u", "id"): 0}
     hashes = quality.repeated_hashes(tables, [("t", ["p"], True)])
     plan = hashes._jdf.queryExecution().executedPlan().toString()
-    exchange = plan.index("Exchange hashpartitioning(rule")
-    assert "p#" not in plan[:exchange]  # keys stay on their side of the shuffle
+    shuffled = next(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    assert "hash#" in shuffled and "p#" not in shuffled
+    below = plan[plan.index(shuffled) + len(shuffled):].splitlines()
+    assert "xxhash64" in " ".join(below)  # whole keys stay on their side of the shuffle
 
 
 def test_steps_of_runs(spark, folder):
