@@ -30,19 +30,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.llm import caches
 from shelfwise.session import written
 
 WINDOW = 13
 ONE_IN = 20
 BLOCK_WORDS = 1_000_000
 #: Words of a shard's suffix array.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 1_000_000
 
 _AS_WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -219,6 +219,7 @@ def matches(
 
     def search(shared, again: bool, drop_text: bool):
         def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            caches.claim("decontamination")
             items = shared.value
             for batch in batches:
                 begin = 0
@@ -300,11 +301,18 @@ def remove(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         prefix += "_"
     found = matches(documents, benchmark, prefix, True, window)
 
-    @F.pandas_udf(T.BooleanType())
-    def clean(n_words: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        judged = (_judge(*row, ()) for row in zip(n_words, starts, ends, strict=True))
-        return pd.Series([not j[3] for j in judged], dtype=bool)
-
-    return found.filter(clean(*(F.col(prefix + c) for c in ("n_words", "starts", "ends")))).select(
-        *documents.columns
-    )
+    # The words hit, in the JVM: a second Python worker a task would double what a stage holds.
+    spans = F.sort_array(F.zip_with(
+        F.col(prefix + "starts"), F.col(prefix + "ends"),
+        lambda start, end: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))))
+    nothing = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("reach"))
+    n_hit = F.aggregate(
+        spans, nothing,
+        lambda seen, span: F.struct(
+            (seen["hit"] + F.greatest(
+                F.lit(0).cast("long"), span["end"] - F.greatest(span["start"], seen["reach"])))
+            .alias("hit"),
+            F.greatest(seen["reach"], span["end"]).alias("reach")),
+        lambda seen: seen["hit"])
+    clean = ~((n_hit > 0) & (ONE_IN * n_hit >= F.col(prefix + "n_words")))
+    return found.filter(clean).select(*documents.columns)

@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import html, jaccard, licenses, queries, toxicity, urls
+from shelfwise.llm import decontamination, html, jaccard, licenses, queries, toxicity, urls
 
 
 @pytest.mark.parametrize("page", [
@@ -128,3 +128,13 @@ def test_no_document_query_has_a_cross_or_nested_loop_join(spark):
         text = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution(
         ).executedPlan().toString()
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_removal_agrees_with_the_report(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    items = queries.table(spark, "/root/testdata/sf0.01", "benchmark")
+    bad = {r["doc_id"] for r in decontamination.report(docs, items).filter("contaminated").collect()}
+    kept = decontamination.remove(docs, items)
+    assert kept.columns == docs.columns and bad
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {
+        r["doc_id"] for r in docs.select("doc_id").collect()} - bad
