@@ -50,10 +50,15 @@ def reorder_policy(demand: DataFrame, products: DataFrame, suppliers: DataFrame)
 
 
 def replenishment_orders(latest: DataFrame, policy: DataFrame) -> DataFrame:
-    """Orders to place now: at or below the policy's point with nothing on the way."""
+    """Orders to place now: at or below the policy's point with nothing on the way.
+
+    Both sides have a row per series. The planner underrates inventory that fans out from its
+    parts, so a merge is asked for: neither side is ever gathered on the driver.
+    """
     return (
         latest.filter(F.col("in_transit_qty") == 0)
         .select(*SERIES, "on_hand_qty")
+        .hint("merge")
         .join(policy.select(*SERIES, "supplier_id", "policy_reorder_point", "order_up_to"),
               list(SERIES))
         .filter(F.col("on_hand_qty") <= F.col("policy_reorder_point"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +110,12 @@ def test_views(spark):
 
 def test_contract_names_only_known_tables():
     assert set(full_contract()) <= set(dir(pipeline.Models))
+
+
+def test_inventory_is_not_broadcast_to_its_policy(spark):
+    """Both sides of the join by series grow with the table, whatever the planner takes them for."""
+    from __spark_entry__ import queries
+
+    text = plan(queries()["replenishment_orders"](spark, FOLDER))
+    assert re.search(r"SortMergeJoin.*\n(.*\n)?.*store_id", text)
+    assert not re.search(r"Broadcast\w+Join.*\n.*store_id", text)
