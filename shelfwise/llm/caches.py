@@ -2,14 +2,18 @@
 
 A module that keeps something between tasks registers how it is dropped; a task claims the caches
 of its operator when it starts, and what others left behind in the same worker goes. Results never
-depend on a cache.
+depend on a cache. What is freed then is given back to the system, as the memory of idle workers
+counts against their executor.
 """
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _DROP: dict[str, Callable[[], None]] = {}
 _owner: str | None = None
 
@@ -25,5 +29,14 @@ def claim(owner: str) -> None:
         for other, drop in _DROP.items():
             if other != owner:
                 drop()
-        gc.collect()
+        give_back()
         _owner = owner
+
+
+def give_back() -> None:
+    """Return free memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -36,6 +36,8 @@ LENGTH = 1024
 FINAL_ID = 0
 DIMENSIONS = 4
 GRID_BITS = 8
+#: Rows whose texts and ids a worker holds at once.
+TOGETHER_ROWS = 512
 BUCKETS = 1024
 PIECES = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -95,6 +97,12 @@ def hilbert_key(cells: np.ndarray, bits: int = GRID_BITS) -> np.ndarray:
     return key
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, TOGETHER_ROWS):
+            yield batch.slice(start, TOGETHER_ROWS)
+
+
 def _encoded(documents: DataFrame, file: str) -> DataFrame:
     """(row, doc_id, n, ids, c0..): every text encoded, with its coordinates; stored once."""
     doc_id = documents.schema["doc_id"].dataType.simpleString()
@@ -104,7 +112,7 @@ def _encoded(documents: DataFrame, file: str) -> DataFrame:
         encoder, matrix = worker_ids(file), projection()
         row = TaskContext.get().partitionId() << 33
         final = np.array([FINAL_ID], dtype=encoder.dtype).tobytes()
-        for batch in batches:
+        for batch in _sliced(batches):
             ids = [encoder.of(text or "") + final for text in batch.column(1).to_pylist()]
             at = coordinates([np.frombuffer(x, encoder.dtype) for x in ids], matrix)
             size = encoder.dtype.itemsize
@@ -200,7 +208,7 @@ def pack(documents: DataFrame, file: str, length: int = LENGTH) -> DataFrame:
     doc_id = documents.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             owner, rows = [], []
             places, widths = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for k, ids in enumerate(batch.column(1).to_pylist()):

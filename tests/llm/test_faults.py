@@ -5,10 +5,13 @@ from __future__ import annotations
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, html, jaccard, licenses, queries, toxicity, urls
+from shelfwise.llm import (
+    caches, decontamination, html, jaccard, licenses, packing, queries, toxicity, urls,
+)
 
 
 @pytest.mark.parametrize("page", [
@@ -138,3 +141,29 @@ def test_removal_agrees_with_the_report(spark):
     assert kept.columns == docs.columns and bad
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {
         r["doc_id"] for r in docs.select("doc_id").collect()} - bad
+
+
+def test_a_worker_gives_back_what_other_operators_left():
+    """Freed memory of one operator does not stay with the worker while the next one runs."""
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    caches.claim("first")
+    held = [bytes(600) for _ in range(400_000)]
+    kept = held[::1000]  # the last blocks stay in use, so that the heap does not shrink by itself
+    kept.append(bytes(600))
+    full = resident()
+    del held
+    caches.claim("second")
+    assert len(kept) and full - resident() > 100_000_000
+
+
+def test_packing_holds_few_rows_at_once(spark):
+    rows = packing.TOGETHER_ROWS * 2 + 1
+    batch = pa.RecordBatch.from_pydict({"n": pa.array(range(rows))})
+    cut = [b.num_rows for b in packing._sliced([batch])]
+    assert cut == [packing.TOGETHER_ROWS, packing.TOGETHER_ROWS, 1]
+    texts = spark.range(rows).repartition(1).selectExpr("id AS doc_id", "'a word' AS text")
+    got = packing.pack(texts, queries.tokenizer()).selectExpr("sum(length)", "count(distinct doc_id)").first()
+    assert got[1] == rows and got[0] == rows * 3
