@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators import incremental
 from shelfwise.plans import intermediate, pipeline
 from shelfwise.sources import landing, zone
-from shelfwise.sources.schemas import RAW_COLUMNS, RAW_PATHS
+from shelfwise.sources.schemas import RAW_COLUMNS, RAW_PATHS, SOURCE_FILE
 from shelfwise.sources.tables import Warehouse
 from shelfwise.sources.versions import VersionedTable
 
@@ -168,3 +169,28 @@ def test_typed_dimension_files(spark, files):
     assert df.first()["nominal_lead_time_days"] == 5
     with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
         landing.read_dimension_csv(spark, f"{files.root}/stores2/*.csv", "suppliers").collect()
+
+
+def test_days_of_rows_are_those_of_their_files(spark):
+    paths = ["/z/sales/dt=2026-07-01/a.csv", "dt=x y/a.csv", "/z/dt=/dt=b/a.csv", "/z/dt=a/dt=b/c.csv",
+             "/z/dt=a.csv", "/z/mydt=a/b.csv", "", None, "/z/dt=é%/n/a.csv", "dt=//dt=q/"]
+    rows = zone.with_file_day(spark.createDataFrame([(p,) for p in paths], f"{SOURCE_FILE} string"))
+    got = rows.withColumn("own", zone.file_day(F.col(SOURCE_FILE))).collect()
+    assert [r[zone.DAY] for r in got] == [r["own"] for r in got]
+    assert [r[zone.DAY] for r in got][:4] == ["d-2026-07-01", "d-x_y", "d-b", "d-a"]
+
+
+def test_landing_and_a_first_load_move_no_row_twice(spark, files, folder, monkeypatch):
+    """Files lie by day already, and nothing has to be taken away from an empty table."""
+    stored, plain = [], incremental.written
+    monkeypatch.setattr(incremental, "written", lambda df, label, *p: stored.append(label) or plain(df, label, *p))
+    gathered, write = [], VersionedTable.write
+
+    def noted(self, area, load, df, stored_by=None, sorted_by=(), gather=True):
+        gathered.append((area, stored_by, gather))
+        return write(self, area, load, df, stored_by, sorted_by, gather)
+
+    monkeypatch.setattr(VersionedTable, "write", noted)
+    pipeline.ZoneTables(Warehouse(spark, f"{folder}/w")).land(files.root)
+    assert "batch" not in stored
+    assert all(not gather for area, by, gather in gathered if by == zone.DAY)
