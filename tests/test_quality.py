@@ -181,6 +181,29 @@ def test_uniqueness_on_hashes_counts_what_whole_keys_count(spark):
     assert "xxhash64" in " ".join(below)  # whole keys stay on their side of the shuffle
 
 
+def test_uniqueness_shuffles_blocks_of_hashes_that_hold_a_hot_key_twice_at_most(spark):
+    n = quality.TOGETHER + 10
+    t = spark.range(0, n, 1, 1).select(F.when(F.col("id") < 1000, F.col("id")).alias("k"), (F.col("id") % 7).alias("g"))
+    rules = [("t", ["k"], True), ("t", ["k"], False), ("t", ["g", "k"], False)]
+    found = quality.repeated_hashes({"t": t}, rules)
+    null = t.select(F.xxhash64(F.lit(None).cast("long"))).first()[0]
+    nulls = {r[0] for r in t.select(F.xxhash64("g", F.lit(None).cast("long"))).distinct().collect()}
+    assert {tuple(r) for r in found.collect()} == {(1, null), *((2, h) for h in nulls)}
+    assert found.count() == 8
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "MapInArrow" in plan
+
+
+def test_keys_are_counted_column_by_column(spark):
+    t = spark.createDataFrame(
+        [("a", DAY("2024-01-01"), -0.0), ("a", None, 0.0), (None, DAY("2024-01-01"), None)],
+        "s string, d date, x double")
+    counted = quality._counts_by_column(t, ["s", "d", "x"])
+    assert sorted(map(tuple, counted.collect())) == [
+        ("d", "2024-01-01", 2), ("s", "a", 2), ("x", "-0.0", 1), ("x", "0.0", 1)]
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_steps_of_runs(spark, folder):
     warehouse = Warehouse(spark, f"{folder}/w")
     warehouse.replace("marts", "t", spark.range(5))
