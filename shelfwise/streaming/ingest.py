@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators.incremental import DailyFact
 from shelfwise.plans import marts, quarantine, staging
 from shelfwise.session import written
-from shelfwise.sources.landing import parse_by_header, text_lines
+from shelfwise.sources.landing import file_headers, parse_by_header, text_lines
 from shelfwise.sources.schemas import RAW_COLUMNS, RAW_PATHS
 from shelfwise.sources.versions import VersionedTable
 
@@ -24,11 +24,6 @@ def sales_lines(spark: SparkSession, zone: str, files_per_trigger: int = 1000) -
     return text_lines(source, file_versions=True)
 
 
-def files_of(lines: DataFrame) -> DataFrame:
-    """(path, size, modified) of the files of a batch."""
-    return lines.filter(F.col("start") == 0).select("path", "size", "modified").distinct()
-
-
 def batch_label(files: DataFrame) -> str:
     """A name for a set of files in one state: the same for a batch that is replayed, another one
     for any other files, also where a new checkpoint counts batches from 0 again."""
@@ -47,18 +42,22 @@ def load_batch(fact: DailyFact, rejected: VersionedTable, ledger: VersionedTable
 
     Valid rows replace rows with the same key, whatever their date; rejected rows are appended. Each
     of the three commits carries the batch's label, and a replayed batch skips those that are
-    there: what a driver lost between two commits had not done yet is all that is done.
+    there: what a driver lost between two commits had not done yet is all that is done. The text is
+    read twice, once for the first lines of its files and once for its rows, which are stored typed.
     """
 
     def load(lines: DataFrame, batch_id: int) -> None:
-        files = written(files_of(lines), "batch_files")
+        files = written(file_headers(lines), "batch_files")
         label = batch_label(files)
         if ledger.has(label):
             return
-        typed = staging.typed_sales(parse_by_header(lines, RAW_COLUMNS["sales"]))
-        fact.load(marts.fct_sales(staging.stg_sales(typed)), label, only_newer=False)
+        parsed = parse_by_header(lines, RAW_COLUMNS["sales"], headers=files.select("path", "line"))
+        typed = staging.typed_sales(parsed)
+        stored = written(typed.withColumn("is_valid", staging.sales_row_is_valid()), "batch_rows")
+        valid, broken = (stored.filter(x).select(*typed.columns) for x in ("is_valid", "NOT is_valid"))
+        fact.load(marts.fct_sales(valid), label, only_newer=False)
         if not rejected.has(label):
-            rejected.append(quarantine.quarantine_sales(typed), label)
+            rejected.append(quarantine.quarantine_sales(broken), label)
         entries = files.select(
             "path", "size", "modified", F.lit(batch_id).cast("long").alias("batch_id"),
             F.lit(fact.table.version().number).alias("fact_version"))
