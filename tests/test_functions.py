@@ -11,6 +11,7 @@ from shelfwise.functions import (
     business_key, calendar_columns, clean_cast, credits_to_money, bytes_to_gib, line_amount,
     quarantine_reason, round_to, sales_row_is_valid,
 )
+from shelfwise.functions import cleaning
 from shelfwise.functions.validity import SALE_DEFECTS
 from shelfwise.plans import quarantine, staging
 from __spark_entry__ import BAD_SALES
@@ -49,6 +50,17 @@ def test_clean_cast_matches_the_warehouse(spark, kind, sql):
     assert got[None] is None
 
 
+def test_ordinary_numbers_need_no_pattern(spark):
+    texts = ["12.50", "7", "1e5", "1_000.5", "0x1p3", "0X10", "1d", "1f2", "1.2.3", "", " 5 ", "-3.0",
+             "5.", ".5", "1e400", "1 2", "nan", "٣", "1,5", "12_", "5\n", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = cleaning._double("t", cleaning.DOUBLE)
+    both = rows.select("t", cleaning.clean_cast("t", "double").alias("x"), by_pattern.alias("y"))
+    assert not [tuple(r) for r in both.filter(~F.col("x").eqNullSafe(F.col("y"))).collect()]
+    plan = rows.select(cleaning.clean_cast("t", "double").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN") < plan.index("regexp_extract")
+
+
 def test_round_is_half_away_after_scaling(spark):
     values = [0.285, 1.005, 2.5, -2.5, 0.125, None, float("nan"), 1e18]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
