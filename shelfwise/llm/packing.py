@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from shelfwise.llm.tokens import worker_ids
-from shelfwise.session import written
+from shelfwise.session import small_batches, written
 
 LENGTH = 1024
 FINAL_ID = 0
@@ -130,7 +130,8 @@ def _encoded(documents: DataFrame, file: str) -> DataFrame:
     schema = f"row long, doc_id {doc_id}, n long, ids binary, width int, " + ", ".join(
         f"{a} double" for a in axes
     )
-    return written(documents.select("doc_id", "text").mapInArrow(encode, schema), "packing_ids")
+    with small_batches(documents.sparkSession, TOGETHER_ROWS):
+        return written(documents.select("doc_id", "text").mapInArrow(encode, schema), "packing_ids")
 
 
 def _keyed(encoded: DataFrame) -> DataFrame:

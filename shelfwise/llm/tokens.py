@@ -115,9 +115,9 @@ class PreTokens:
 class Cache(dict):
     """Encodings by pre-token; a miss asks the library and is kept while there is room."""
 
-    def __init__(self, pre_tokens: PreTokens, value, known: dict | None = None):
+    def __init__(self, pre_tokens: PreTokens, value, known: dict | None = None, room: int = CACHED):
         super().__init__(known or {})
-        self.pre_tokens, self.value, self.room = pre_tokens, value, CACHED
+        self.pre_tokens, self.value, self.room = pre_tokens, value, room
 
     def __missing__(self, pre_token: str):
         found = self.value(self.pre_tokens.encode_one(pre_token))
@@ -126,6 +126,10 @@ class Cache(dict):
             self.room -= 1
         return found
 
+    def passing(self, pre_token: str):
+        """The same, but what is not known yet is not kept."""
+        return self[pre_token] if pre_token in self else self.value(self.pre_tokens.encode_one(pre_token))
+
 
 class _Units(dict):
     """Encodings of what stands between spaces, each with the space before it."""
@@ -135,10 +139,13 @@ class _Units(dict):
         self.pre_tokens = pre_tokens
 
     def __missing__(self, unit: str) -> bytes:
-        found = b"".join(map(self.pre_tokens.__getitem__, PRE_TOKEN.findall(" " + unit)))
+        parts = PRE_TOKEN.findall(" " + unit)
         if len(self) < CACHED_UNITS and len(unit) <= CACHED_LENGTH:
-            self[unit] = found
-        return found
+            # A unit that is one pre-token is kept here only.
+            known = self.pre_tokens.passing if len(parts) == 1 else self.pre_tokens.__getitem__
+            self[unit] = found = b"".join(map(known, parts))
+            return found
+        return b"".join(map(self.pre_tokens.__getitem__, parts))
 
 
 class Ids:
@@ -154,7 +161,7 @@ class Ids:
     def __init__(self, file: str):
         self.pre_tokens = PreTokens(file)
         self.dtype = np.dtype("<u2" if self.pre_tokens.library.get_vocab_size() <= 65536 else "<u4")
-        self.cache = Cache(self.pre_tokens, self._bytes)
+        self.cache = Cache(self.pre_tokens, self._bytes, room=CACHED - CACHED_UNITS)
         self.units = _Units(self.cache)
 
     def _bytes(self, ids: list[int]) -> bytes:

@@ -73,6 +73,26 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """For Python tasks over long texts: hand them this many rows at once, so that neither side
+    holds the texts of Spark's 10,000."""
+    with _set(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        yield
+
+
 @contextmanager
 def many_writers(spark: SparkSession) -> Iterator[None]:
     """For writes by day: let every shuffle partition write its own days.
@@ -86,11 +106,5 @@ def many_writers(spark: SparkSession) -> Iterator[None]:
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
     }
-    before = {name: spark.conf.get(name) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
+    with _set(spark, settings):
         yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
