@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.incremental import DailyFact
 from shelfwise.plans import marts, quarantine, staging
-from shelfwise.session import written
+from shelfwise.session import stored as written
 from shelfwise.sources.landing import file_headers, parse_by_header, text_lines
 from shelfwise.sources.schemas import RAW_COLUMNS, RAW_PATHS
 from shelfwise.sources.versions import VersionedTable

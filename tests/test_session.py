@@ -1,10 +1,16 @@
 from __future__ import annotations
 
+import time
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise import session
+from shelfwise.sources import sinks
+from shelfwise.sources.versions import VersionedTable
 
 
 def fake(master, configured=None):
@@ -42,3 +48,45 @@ def test_many_writers_restores_the_setting(spark):
         assert spark.conf.get(name) == "false"
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def left_by(spark, write):
+    """Shuffle files that ``write`` leaves; they may go a moment after it."""
+    before, end = shuffle_files(spark), time.monotonic() + 20
+    write()
+    while (left := shuffle_files(spark) - before) and time.monotonic() < end:
+        time.sleep(0.2)
+    return left
+
+
+def test_writes_leave_no_shuffle_files(spark, folder):
+    df = spark.range(1000).selectExpr("cast(id as string) as k", "cast(id % 3 as string) as day")
+    dealt = df.repartition(4, "k").groupBy("k").agg(F.max("day").alias("day"))
+    table = VersionedTable(spark, f"{folder}/t")
+    assert not left_by(spark, lambda: session.stored(dealt, "t"))
+    assert not left_by(spark, lambda: table.replace(dealt, "day"))
+    assert not left_by(spark, lambda: table.append(dealt, area="other"))
+    assert not left_by(spark, lambda: sinks.write_partitioned(dealt, f"{folder}/csv", "day"))
+    assert not left_by(spark, lambda: sinks.write_current_state(dealt, f"{folder}/now"))
+    # What shares a plan with a write can be read after it, and read twice.
+    assert dealt.count() == 1000 and len(dealt.collect()) == 1000 == len(dealt.collect())
+
+
+def test_rows_stored_meanwhile_are_gone_after(spark):
+    df = spark.range(10).selectExpr("id", "'x' as s").repartition(3)
+    with session.stored_meanwhile(df, "t") as rows:
+        assert rows.schema.simpleString() == df.schema.simpleString()
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, df.collect()))
+        path = Path(urlparse(rows.inputFiles()[0]).path).parent
+        assert path.exists()
+    assert not path.exists()
+    with pytest.raises(ValueError), session.stored_meanwhile(df, "t") as rows:
+        path = Path(urlparse(rows.inputFiles()[0]).path).parent
+        raise ValueError
+    assert not path.exists()
