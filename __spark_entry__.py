@@ -557,7 +557,7 @@ def _warehouse_queries() -> dict[str, Query]:
         "dim_suppliers_masked_transformer": _with(
             lambda m: marts.dim_suppliers_secure(m.dim_suppliers, "TRANSFORMER")),
         "fct_sales": _model("fct_sales"),
-        "fct_inventory": _stored("fct_inventory", "snapshot_date"),
+        "fct_inventory": _stored("fct_inventory", "snapshot_date", gather=DEAL_SNAPSHOTS),
         "fct_purchase_orders": _stored("fct_purchase_orders"),
         "fct_sales_incremental": _with(_incremental),
         "fct_sales_partial_day": _with(lambda m: _incremental(m, _partial_sales)),

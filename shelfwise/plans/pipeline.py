@@ -16,6 +16,7 @@ from shelfwise.operators.observability import stamped, steps_table
 from shelfwise.operators.quality import run_checks_measured
 from shelfwise.plans import intermediate, marts, quarantine, staging
 from shelfwise.plans.contract import CATEGORIES, full_contract
+from shelfwise.session import OPEN_FILES
 from shelfwise.sources import zone as zone_files
 from shelfwise.sources.schemas import RAW_COLUMNS
 from shelfwise.sources.tables import Warehouse
@@ -298,8 +299,11 @@ def build_marts(models: Models, warehouse: Warehouse, daily_sales: DataFrame,
     # Stored, so that the planner knows its size and can split a hot key of the join below.
     out("intermediate", "daily_demand", intermediate.daily_demand(daily_sales))
     demand = warehouse.read("intermediate", "daily_demand")
-    out("marts", "fct_inventory",
-        intermediate.stock_status(models.stg_inventory_snapshots, demand), "snapshot_date")
+    snapshots = models.stg_inventory_snapshots
+    days = snapshots.select("snapshot_date").distinct().limit(OPEN_FILES + 1).count()
+    # The join deals rows by series, so each task has all days: few of them are not dealt again.
+    out("marts", "fct_inventory", intermediate.stock_status(snapshots, demand), "snapshot_date",
+        gather=days > OPEN_FILES)
     inventory = warehouse.read("marts", "fct_inventory")
     out("marts", "dim_date", marts.dim_date(inventory))
     out("marts", "fct_purchase_orders", models.fct_purchase_orders)

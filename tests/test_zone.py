@@ -194,3 +194,24 @@ def test_landing_and_a_first_load_move_no_row_twice(spark, files, folder, monkey
     pipeline.ZoneTables(Warehouse(spark, f"{folder}/w")).land(files.root)
     assert "batch" not in stored
     assert all(not gather for area, by, gather in gathered if by == zone.DAY)
+
+
+@pytest.mark.parametrize(("days", "gathered"), [(7, False), (17, True)])
+def test_few_snapshot_days_are_not_dealt_again(spark, files, folder, monkeypatch, days, gathered):
+    """The join deals inventory by series, so few days are written from there; many are gathered."""
+    for n in range(days):
+        day = f"2026-06-{n + 1:02d}"
+        files.put(f"inventory/dt={day}/i.csv", HEADERS["inventory_snapshots"], f"{day},S1,P1,3,5,0")
+    seen, write = {}, VersionedTable.write
+
+    def noted(self, area, load, df, stored_by=None, sorted_by=(), gather=True):
+        seen[self.path.rsplit("/", 1)[1], area] = gather
+        return write(self, area, load, df, stored_by, sorted_by, gather)
+
+    monkeypatch.setattr(VersionedTable, "write", noted)
+    # One day is in the files already.
+    warehouse = Warehouse(spark, f"{folder}/w")
+    built, _ = pipeline.build_from_zone(files.root, warehouse)
+    assert seen["fct_inventory", "rows"] is gathered
+    n = built["fct_inventory"].select("snapshot_date").distinct().count()
+    assert (n > 16) is gathered and n == days + 1
